@@ -37,11 +37,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, pos, row_id, s): documents split on '.' and newline, 1..180 chars."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return (docs.select("doc_id", F.posexplode(F.split("text", r"[.\n]")).alias("pos", "s"))
+    sent = (docs.select("doc_id", F.posexplode(F.split("text", r"[.\n]")).alias("pos", "s"))
             .where(F.length("s").between(1, MAX_SENTENCE))
             .select("doc_id", F.col("pos").cast("long").alias("pos"),
                     (F.col("doc_id") * ROW_ID_STRIDE + F.col("pos")).alias("row_id"),
                     "s"))
+    return spread(sent, "row_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Input-parallelism guard: a scan with fewer splits than the cluster's cores
+    (one small file, one row group) is hash-partitioned on ``key``; a large input
+    already has enough splits and is left alone (no extra shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
 
 
 def _inject(col, column_index: int, ambiguous: bool = False):
