@@ -103,8 +103,10 @@ def align_punct(raw, pred, table=PUNCT_WIDEN) -> Column:
     """
     raw_c, out = _col(raw), _col(pred)
     for narrow, wide in table:
-        out = F.when(F.instr(raw_c, wide) > 0,
-                     F.replace(out, F.lit(narrow), F.lit(wide))).otherwise(out)
+        # replacing the narrow form by itself is a no-op, so each step references
+        # ``out`` once and the expression stays linear in the table size
+        target = F.when(F.instr(raw_c, wide) > 0, F.lit(wide)).otherwise(F.lit(narrow))
+        out = F.replace(out, F.lit(narrow), target)
     return remove_spaces(out)
 
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 ASCII_LETTERS = "QWERTYUIOPASDFGHJKLZXCVBNMqwertyuiopasdfghjklzxcvbnm"
 
@@ -142,7 +143,8 @@ def decide(df: DataFrame, raw_clean: str, model_clean: str, model: str,
     """Append (use_rule boolean, repaired string) computed by the E21 walk."""
     cols = list(keep) + [raw_clean, model_clean, model]
     work = df.select(*[F.col(c) for c in dict.fromkeys(cols)])
-    schema = work.schema.add("use_rule", "boolean").add("repaired", "string")
+    schema = StructType(list(work.schema.fields) + [StructField("use_rule", BooleanType()),
+                                                    StructField("repaired", StringType())])
 
     def run(batches):
         for pdf in batches:

@@ -335,3 +335,6 @@ def q_f9(spark, sf):
     common = _lexicon(spark, sf)["common"].where(F.col("key") != "🏃")
     p = fx.pairs(spark, sf).where(F.col("source_text") != F.col("target_text"))
     return subst.oov_symbols(p, "source_text", common)
+
+
+from . import catalog_jobs  # noqa: E402,F401  (registers part 2)
