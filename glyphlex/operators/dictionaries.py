@@ -44,11 +44,13 @@ def normalize(df: DataFrame, key: str = "key", value: str = "value",
             .where(F.col("key").isNotNull() & (F.col("key") != "")))
 
 
-def merge(dicts: Sequence[DataFrame], policy: str = "last") -> DataFrame:
+def merge(dicts: Sequence[DataFrame], policy: str = "last",
+          by_length: bool = False) -> DataFrame:
     """precedence merge of ordered dictionaries.
 
     ``last``: later dictionaries override the value (``dict.update``); a key keeps
     the position of its first insertion.  ``first``: insert-if-absent.
+    ``by_length`` fuses the I2 re-rank (stable sort by key length, descending).
     """
     if policy not in ("last", "first"):
         raise ValueError("policy must be 'last' or 'first'")
@@ -62,7 +64,8 @@ def merge(dicts: Sequence[DataFrame], policy: str = "last") -> DataFrame:
     merged = tagged.groupBy("key").agg(
         pick(F.col("value"), order).alias("value"),
         F.min(order).alias("pos"))
-    return dense_index(merged, ["pos"], "rank").select("key", "value", "rank")
+    order = [F.desc(F.length("key")), F.col("pos")] if by_length else [F.col("pos")]
+    return dense_index(merged, order, "rank").select("key", "value", "rank")
 
 
 def rank_by_key_length(d: DataFrame) -> DataFrame:
@@ -95,7 +98,7 @@ def refine(common: DataFrame, labels: DataFrame | None = None) -> DataFrame:
                       "left_anti")
             .select("key", "value", "rank"))
     if labels is None:
-        return rank_by_key_length(step)
+        return rank_by_key_length(step.select("key", "value", "rank"))
     long_keys = step.where((F.size(F.array_distinct(extract_symbols("key"))) > 1)
                            & (F.size(F.split("value", " ", -1)) > 2))
     chars = long_keys.select(F.col("rank").alias("src_rank"),
@@ -110,14 +113,15 @@ def refine(common: DataFrame, labels: DataFrame | None = None) -> DataFrame:
                                 F.col("pos.cpos").cast("long").alias("b")).alias("o"))
     kept = step.select("key", "value", F.struct(F.lit(0).alias("grp"), F.col("rank").alias("a"),
                                                 F.lit(0).cast("long").alias("b")).alias("o"))
-    both = dense_index(kept.unionByName(fill), ["o"], "rank").select("key", "value", "rank")
-    return rank_by_key_length(both)
+    both = kept.unionByName(fill)
+    return dense_index(both, [F.desc(F.length("key")), F.col("o")], "rank").select(
+        "key", "value", "rank")
 
 
 def build_oov(labels: DataFrame, specials: DataFrame) -> DataFrame:
     """Labels, then specials override (F5 last-wins), E23 digits, then I2."""
-    merged = merge([labels, specials], policy="last")
-    return rank_by_key_length(merged.withColumn("value", placeholder_digit("value")))
+    merged = merge([labels, specials], policy="last", by_length=True)
+    return merged.withColumn("value", placeholder_digit("value"))
 
 
 def build_dictionary(library: DataFrame | None, speech_labels: DataFrame | None,
@@ -139,7 +143,7 @@ def build_dictionary(library: DataFrame | None, speech_labels: DataFrame | None,
 
 def predict_dictionary(lexicon: DataFrame, oov: DataFrame) -> DataFrame:
     """P9 dictionary: lexicon, oov inserted if absent, then I2."""
-    return rank_by_key_length(merge([lexicon, oov], policy="first"))
+    return merge([lexicon, oov], policy="first", by_length=True)
 
 
 def to_json_object(d: DataFrame) -> DataFrame:

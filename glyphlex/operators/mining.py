@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.symbols import is_symbol
 from ..functions.text import remove_spaces
+from ..session import materialize
 from .diff import mine_pairs
 from .ranking import dense_index
 
@@ -85,17 +86,27 @@ def ambiguous_map(counts: DataFrame, k: int = 3, min_count: int = 2) -> DataFram
 
 
 def mine_lexicon(df: DataFrame, source: str = "source_text", target: str = "target_text",
-                 row_id: str = "row_id", min_support: int = 2) -> dict[str, DataFrame]:
-    """{'pairs', 'counts', 'common', 'ambiguous'} from raw (unnormalised) pairs."""
+                 row_id: str = "row_id", min_support: int = 2,
+                 persist: bool = True) -> dict[str, DataFrame]:
+    """{'pairs', 'counts', 'common', 'ambiguous'} from raw (unnormalised) pairs.
+
+    With ``persist`` the pair counts (the output of the Python diff, already
+    aggregated) and the common map are written once to the shared checkpoint
+    folder, so later jobs and range-partition sampling never re-run the diff.
+    """
     pairs = mined_pairs(df, source, target, row_id, clean_keys=True)
     counts = pair_counts(pairs)
-    return {"pairs": pairs, "counts": counts,
-            "common": common_map(counts, min_support),
+    if persist:
+        counts = materialize(counts, "pair-counts")
+    common = common_map(counts, min_support)
+    if persist:
+        common = materialize(common, "common-map")
+    return {"pairs": pairs, "counts": counts, "common": common,
             "ambiguous": ambiguous_map(counts)}
 
 
 def mine_unique(df: DataFrame, source: str = "source_text", target: str = "target_text",
-                row_id: str = "row_id") -> DataFrame:
+                row_id: str = "row_id", persist: bool = True) -> DataFrame:
     """P3 (+G5, D7): keys mined from normalised pairs without key clean-up; a key
     is kept when it is exactly one symbol with exactly one distinct text.
 
@@ -108,6 +119,8 @@ def mine_unique(df: DataFrame, source: str = "source_text", target: str = "targe
                     .alias("key_first"),
                     F.countDistinct("text").alias("n_texts"),
                     F.min("text").alias("value")))
+    if persist:
+        per_key = materialize(per_key, "unique-keys")
     flagged = per_key.select("key", "value", "n_texts", "key_first",
                              is_symbol("key").alias("is_symbol"))
     flagged = flagged.withColumn("unique", F.col("is_symbol") & (F.col("n_texts") == 1))

@@ -36,13 +36,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, pos, row_id, s): documents split on '.' and newline, 1..180 chars."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    sent = (docs.select("doc_id", F.posexplode(F.split("text", r"[.\n]")).alias("pos", "s"))
+    # spread the documents, not the sentences: everything computed from the
+    # generated sentences (injection, normalisation, symbol filters) sits above
+    # the generator, so the optimizer cannot push it back into the scan task
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return (docs.select("doc_id", F.posexplode(F.split("text", r"[.\n]")).alias("pos", "s"))
             .where(F.length("s").between(1, MAX_SENTENCE))
             .select("doc_id", F.col("pos").cast("long").alias("pos"),
                     (F.col("doc_id") * ROW_ID_STRIDE + F.col("pos")).alias("row_id"),
                     "s"))
-    return spread(sent, "row_id")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -55,3 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "glyphlex-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back.
+
+    Used after expensive stages (the Python diff) whose small result feeds
+    several later jobs: it cuts the lineage (a lost executor never re-runs the
+    diff) and gives the optimizer real file sizes for join planning.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
