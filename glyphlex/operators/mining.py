@@ -39,6 +39,12 @@ def mined_pairs(df: DataFrame, source: str = "source_text", target: str = "targe
     return pairs
 
 
+def texts_per_key(pairs: DataFrame) -> DataFrame:
+    """The set of distinct texts of every key, as (key, text) rows (a set
+    per key without collecting any key's texts into one row)."""
+    return pairs.select("key", "text").distinct()
+
+
 def key_summary(counts: DataFrame) -> DataFrame:
     """Per key: top text (H2), its count, first-seen position, number of texts."""
     best = F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("first").alias("f"),

@@ -237,3 +237,24 @@ def oov_symbols(df: DataFrame, text_col: str, dictionary: DataFrame) -> DataFram
     occ = df.select(F.explode(extract_symbols(text_col)).alias("key"))
     return (occ.join(dictionary.select("key"), "key", "left_anti")
             .groupBy(F.col("key").alias("symbol")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def apply_unique_map(pairs: DataFrame, unique: DataFrame, source: str = "source_text",
+                     target: str = "target_text") -> tuple[DataFrame, DataFrame]:
+    """Rewrite the source with the unambiguous map (E10 in rank order), count
+    the touched rows whose result still differs from the target, and keep only
+    the rows that remain different (D1).
+
+    Returns (kept rows with the rewritten source, one-row counters
+    ``(n_touched, n_still_different)``)."""
+    keys = unique.select("key")
+    flagged = contains_any_key(pairs, source, keys, "_gl_touched")
+    rewritten = apply_fold(flagged, source, unique, "_gl_new")
+    rewritten = rewritten.withColumn(source, F.when(F.col("_gl_touched"), F.col("_gl_new"))
+                                     .otherwise(F.col(source)))
+    counters = rewritten.agg(
+        F.count_if("_gl_touched").alias("n_touched"),
+        F.count_if(F.col("_gl_touched") & (F.col(source) != F.col(target)))
+        .alias("n_still_different"))
+    kept = rewritten.where(F.col(source) != F.col(target)).drop("_gl_touched", "_gl_new")
+    return kept, counters

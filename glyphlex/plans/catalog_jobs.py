@@ -598,3 +598,74 @@ def q_b3(spark, sf):
 
 
 del math, extract_symbols
+
+
+# ---------------------------------------------------------------------------
+# E11, G5, P8 and the annotation round trip
+# ---------------------------------------------------------------------------
+
+_UNIQUE_FROM_COMMON = """umap AS (SELECT key, value, rank FROM common
+                                  WHERE regexp_full_match(key, '""" + PAT.replace("'", "''") + """'))"""
+
+
+@register("e11_unique_map_filter", with_fixtures(["PAIRS"], _P1_CTE, _P1_KEPT, _occ_cte(), INJ_CTE,
+                                                 MINED_CTE, COMMON_CTE, _UNIQUE_FROM_COMMON, body="""
+SELECT row_id, source_text, target_text FROM (
+  SELECT row_id, list_reduce((SELECT list({'k': key, 'v': value} ORDER BY rank) FROM umap),
+                             lambda acc, x: replace(acc, x.k, x.v), source_text) AS source_text,
+         target_text
+  FROM kept)
+WHERE source_text <> target_text"""))
+def q_e11(spark, sf):
+    # the unambiguous map: single-symbol keys of the mined lexicon (one text each)
+    common = _lexicon(spark, sf)["common"]
+    unique = common.where(F.col("key").rlike("^" + PAT + "$")).select("key", "value", "rank")
+    prepared = dataset.prepare_pairs(fx.raw_pairs(spark, sf))
+    kept, _counters = subst.apply_unique_map(prepared, unique)
+    return kept.select("row_id", "source_text", "target_text")
+
+
+@register("g5_texts_per_key", with_fixtures(["PAIRS"], _occ_cte(), INJ_CTE, MINED_CTE, body="""
+SELECT key, text FROM mined"""))
+def q_g5(spark, sf):
+    pairs = mining.mined_pairs(fx.pairs(spark, sf))
+    return mining.texts_per_key(pairs)
+
+
+@register("p8_build_dictionary", with_fixtures(["PAIRS"], _occ_cte(), INJ_CTE, MINED_CTE,
+                                               COMMON_CTE, CUSTOM_CTE, body="""
+SELECT key, value, row_number() OVER (ORDER BY pos_p, pos_r) - 1 AS rank FROM (
+  SELECT key, arg_max(value, prio * 1000000 + rank) AS value,
+         min(prio) AS pos_p, arg_min(rank, prio * 1000000 + rank) AS pos_r
+  FROM (SELECT key, value, 0 AS prio, rank FROM common
+        UNION ALL SELECT key, value, 2, rank FROM custom)
+  GROUP BY key)"""))
+def q_p8(spark, sf):
+    _prepared, d = _train_dictionary(spark, sf)
+    return d
+
+
+@register("p6_build_labels", with_fixtures(["PAIRS"], _occ_cte(), INJ_CTE, MINED_CTE, COMMON_CTE,
+                                           body="""
+SELECT key, value, rank FROM common"""))
+def q_p6(spark, sf):
+    """Annotation round trip: the mined lexicon is written as an annotation XML
+    document (one ``tts`` and one alias element per symbol, in rank order) by
+    Spark's XML writer, read back (A3) and turned into speech labels (P6)."""
+    from ..operators import labels as lj
+    from ..session import scratch_path
+    from ..sources import io
+    common = _lexicon(spark, sf)["common"]
+    rows = common.select(
+        "rank", F.explode(F.array(
+            F.struct(F.col("key").alias("_cp"), F.lit("tts").alias("_type"),
+                     F.col("value").alias("_VALUE"), F.lit(1).alias("k")),
+            F.struct(F.col("key").alias("_cp"), F.lit(None).cast("string").alias("_type"),
+                     F.concat_ws(" | ", "value", "value").alias("_VALUE"), F.lit(0).alias("k"))))
+        .alias("a"))
+    path = scratch_path(spark, "annotations")
+    (rows.orderBy("rank", "a.k").select("a._cp", "a._type", "a._VALUE")
+     .write.format("xml").option("rootTag", "annotations").option("rowTag", "annotation")
+     .mode("overwrite").save(path))
+    ann = io.read_annotations(spark, path)
+    return lj.build_labels([ann])["speech"]

@@ -107,3 +107,13 @@ def test_json_export_round_trip(spark, scratch):
     back = io.read_dict(spark, path)
     assert as_list(back) == as_list(d)
     assert back.select(F.max("rank")).first()[0] == 2
+
+
+def test_unique_map_filter(spark):
+    pairs = spark.createDataFrame([(1, "🐶好", "狗好"), (2, "🐱好", "猫啊"), (3, "无", "无!")],
+                                  "row_id long, source_text string, target_text string")
+    unique = D.from_mapping(spark, {"🐶": "狗", "🐱": "猫"})
+    kept, counters = S.apply_unique_map(pairs, unique)
+    assert sorted(r.row_id for r in kept.collect()) == [2, 3]
+    c = counters.first()
+    assert (c.n_touched, c.n_still_different) == (2, 1)

@@ -99,3 +99,8 @@ def test_contains_any_and_delete(spark):
 
 def test_empty_search_string_is_noop(spark):
     assert one(spark, F.replace(F.col("a"), F.lit(""), F.lit("x")), "ab") == "ab"
+
+
+def test_demojize_with_symbols(spark):
+    got = one(spark, fs.demojize_with_symbols("a", {"🐶": "狗"}), "🐶x🐶🐱")
+    assert got["text"] == "狗x狗[UNK]" and got["symbols"] == ["🐶", "🐶", "🐱"]
