@@ -84,34 +84,46 @@ def reconcile_decision(raw_clean: str, model_clean: str, model: str) -> tuple[bo
 # Spark stages
 # ---------------------------------------------------------------------------
 
-PAIR_SCHEMA = "row_id long, seq int, key string, text string"
+PAIR_SCHEMA = "row_id long, seq int, key string, text string, weight long"
 
 
 def mine_pairs(df: DataFrame, source: str = "source_text", target: str = "target_text",
-               row_id: str = "row_id", strict: bool = False) -> DataFrame:
-    """(row_id, seq, key, text) for every mined pair, ``seq`` = order in the row.
+               row_id: str = "row_id", strict: bool = False, dedupe: bool = True) -> DataFrame:
+    """(row_id, seq, key, text, weight) for every mined pair, ``seq`` = order in the row.
 
     Rows whose texts are equal cannot yield a pair and never reach Python.
+    With ``dedupe`` every distinct (source, target) is diffed once: the diff
+    depends only on the two texts, so ``row_id`` is the first row holding them
+    and ``weight`` the number of such rows (the aggregation is partial, so
+    repeated lines collapse before the shuffle).  Counts must sum ``weight``.
     """
     work = (df.select(F.col(row_id).cast("long").alias("row_id"),
                       F.col(source).alias("a"), F.col(target).alias("b"))
             .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))))
+    if dedupe:
+        work = work.groupBy("a", "b").agg(F.min("row_id").alias("row_id"),
+                                          F.count(F.lit(1)).alias("w"))
+    else:
+        work = work.withColumn("w", F.lit(1).cast("long"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rid, seq, keys, texts = [], [], [], []
-            for r, a, b in zip(pdf["row_id"].tolist(), pdf["a"].tolist(), pdf["b"].tolist()):
+            rid, seq, keys, texts, weights = [], [], [], [], []
+            for r, a, b, w in zip(pdf["row_id"].tolist(), pdf["a"].tolist(), pdf["b"].tolist(),
+                                  pdf["w"].tolist()):
                 for i, (k, t) in enumerate(extract_pairs(a, b, strict)):
                     rid.append(r)
                     seq.append(i)
                     keys.append(k)
                     texts.append(t)
+                    weights.append(w)
             yield pd.DataFrame({"row_id": pd.Series(rid, dtype="int64"),
                                 "seq": pd.Series(seq, dtype="int32"),
                                 "key": pd.Series(keys, dtype="object"),
-                                "text": pd.Series(texts, dtype="object")})
+                                "text": pd.Series(texts, dtype="object"),
+                                "weight": pd.Series(weights, dtype="int64")})
 
-    return work.mapInPandas(run, PAIR_SCHEMA)
+    return work.select("row_id", "a", "b", "w").mapInPandas(run, PAIR_SCHEMA)
 
 
 def diff_table(df: DataFrame, a: str, b: str, row_id: str = "row_id") -> DataFrame:

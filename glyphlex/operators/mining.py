@@ -25,7 +25,7 @@ from .ranking import dense_index
 def pair_counts(pairs: DataFrame) -> DataFrame:
     """(key, text, cnt, first) with first = min(struct(r=row_id, s=seq))."""
     return pairs.groupBy("key", "text").agg(
-        F.count(F.lit(1)).alias("cnt"),
+        F.sum("weight").alias("cnt"),
         F.min(F.struct(F.col("row_id").alias("r"), F.col("seq").alias("s"))).alias("first"))
 
 
