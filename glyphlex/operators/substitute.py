@@ -199,9 +199,23 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
                 .withColumn(out_col, F.lit(True)))
         return (tagged.join(hits, rid, "left")
                 .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(False))).drop(rid))
-    entries = [(r["key"], "") for r in keyset.collect()]
-    return df.withColumn(out_col, _arrow_fold_column(F.col(text_col), entries,
-                                                     df.sparkSession, any_only=True))
+    spark = df.sparkSession
+    if stats["n"] <= COLLECT_MAX_ROWS:
+        entries = [(k, "") for k, _v in collect_entries(
+            keyset.withColumn("value", F.lit("")).withColumn("rank", F.lit(0)))]
+        return df.withColumn(out_col, _arrow_fold_column(F.col(text_col), entries, spark,
+                                                         any_only=True))
+    # beyond the collect bound: OR the flags of bounded chunks of the key set
+    from .ranking import dense_index
+    ranked = dense_index(keyset.distinct(), ["key"], "_gl_r")
+    n_chunks = (int(stats["n"]) + COLLECT_MAX_ROWS - 1) // COLLECT_MAX_ROWS
+    out = df.withColumn(out_col, F.lit(False))
+    for c in range(n_chunks):
+        part = ranked.where((F.col("_gl_r") / COLLECT_MAX_ROWS).cast("long") == c)
+        entries = [(r["key"], "") for r in part.select("key").collect()]
+        hit = _arrow_fold_column(F.col(text_col), entries, spark, any_only=True)
+        out = out.withColumn(out_col, F.col(out_col) | hit).checkpoint(eager=True)
+    return out
 
 
 def delete_keys(df: DataFrame, text_col: str, keys: DataFrame, out_col: str) -> DataFrame:
