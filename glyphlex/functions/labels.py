@@ -74,10 +74,13 @@ def usable_alias(a: Column) -> Column:
             & ~((F.instr(a, ALLOW_LONG_IF) == 0) & (F.length(a) >= LONG_ALIAS)))
 
 
-def first_usable_alias(text) -> Column:
-    """First usable alias of ``a | b | c`` (no inner trimming), with the
+def first_usable_alias(text, trim: bool = False) -> Column:
+    """First usable alias of ``a | b | c`` (no inner trimming by default, as
+    the reference keeps ``"嘿嘿 "``; ``trim=True`` strips each alias), with the
     rules-B cuts; null when no alias is usable."""
     aliases = F.split(py_strip(text), r"\|", -1)
+    if trim:
+        aliases = F.transform(aliases, py_strip)
     first = F.try_element_at(F.filter(aliases, usable_alias), F.lit(1))
     return F.when(first.isNull(), F.lit(None).cast("string")).otherwise(
         _cuts(first, DROP_WORDS_B))

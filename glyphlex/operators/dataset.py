@@ -80,6 +80,13 @@ def train_valid_split(df: DataFrame, fraction: float = 0.1, seed: int = 42,
     return labelled
 
 
+def split_overlap(labelled: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """O4 report: rows present in both splits (non-zero only with ``train_on_all``)."""
+    per = labelled.groupBy(row_id).agg(F.countDistinct("split").alias("n"))
+    return per.agg(F.count_if(F.col("n") > 1).alias("n_overlap"),
+                   F.count(F.lit(1)).alias("n_rows"))
+
+
 def length_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: count, mean, sample std, min, quartiles, 95 %, max of lengths."""
     parts = None

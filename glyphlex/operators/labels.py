@@ -53,7 +53,7 @@ def build_labels(annotation_sets: Sequence[DataFrame]) -> dict[str, DataFrame]:
 
 
 def first_alias_labels(annotations: DataFrame, lo: int | None = None,
-                       hi: int | None = None) -> DataFrame:
+                       hi: int | None = None, trim: bool = False) -> DataFrame:
     """Rules-B label map: optional positional slice (A4), first usable alias per
     annotation (E19), later annotations of the same symbol win (F5)."""
     rows = _ranked(annotations)
@@ -61,6 +61,6 @@ def first_alias_labels(annotations: DataFrame, lo: int | None = None,
         rows = rows.where(F.col("rank") >= lo)
     if hi is not None:
         rows = rows.where(F.col("rank") < hi)
-    picked = rows.select(F.col("cp").alias("key"), first_usable_alias("text").alias("value"),
+    picked = rows.select(F.col("cp").alias("key"), first_usable_alias("text", trim).alias("value"),
                          "rank").where(F.col("value").isNotNull())
     return merge([picked], policy="last")

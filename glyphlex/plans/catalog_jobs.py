@@ -41,12 +41,14 @@ def _sql_align(raw: str, pred: str) -> str:
 
 @register("e2_width_to_half", with_fixtures(["WIDE"], body=f"""
 SELECT doc_id, pos, translate(wide, {q(FULL_P)}, {q(HALF_P)}) AS restored,
-       translate(wide, {q(FULL_P)}, {q(HALF_P)}) = narrow AS same
-FROM wide WHERE wide <> narrow"""))
+       translate(wide, {q(FULL_P)}, {q(HALF_P)}) = narrow AS same,
+       wide <> narrow AS widened
+FROM wide"""))
 def q_e2_half(spark, sf):
-    w = fx.wide(spark, sf).where(F.col("wide") != F.col("narrow"))
+    w = fx.wide(spark, sf)
     r = tx.to_half("wide", lower=False, upper=False, digits=False)
-    return w.select("doc_id", "pos", r.alias("restored"), (r == F.col("narrow")).alias("same"))
+    return w.select("doc_id", "pos", r.alias("restored"), (r == F.col("narrow")).alias("same"),
+                    (F.col("wide") != F.col("narrow")).alias("widened"))
 
 
 @register("e2_width_to_full", with_fixtures(["SENT"], body=f"""

@@ -91,3 +91,8 @@ def test_positional_slice_and_rules_b(spark, xml_files):
     # later annotations of the same symbol win; long aliases are skipped
     assert got["🐶"] == "狗脸"
     assert os.path.exists(xml_files[0])
+
+
+def test_rules_b_trim_option(spark):
+    got = run(spark, L.first_usable_alias("t", trim=True), ["嘿嘿 | 脸 | 笑脸", "笑脸的猫 | 猫"])
+    assert got == ["嘿嘿", "猫"]

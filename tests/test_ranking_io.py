@@ -1,5 +1,7 @@
 """Dense index, TSV round trips, candidate scans and streaming rewrites."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from glyphlex.operators import dictionaries as D
@@ -67,3 +69,15 @@ def test_streaming_rewrite(spark, scratch, tmp_path):
     q.stop()
     got = {r.id: r.prediction for r in spark.sql("SELECT * FROM gl_stream_test").collect()}
     assert got == {1: "a狗,b", 2: "无"}
+
+
+def test_split_sizes_and_overlap(spark):
+    from glyphlex.operators import dataset
+    df = spark.range(0, 30).withColumnRenamed("id", "row_id")
+    plain = dataset.train_valid_split(df)
+    # the split library rule: ceil(0.1 * n) on the float product (3 here)
+    assert plain.where("split = 'valid'").count() == math.ceil(0.1 * 30) == 3
+    assert dataset.split_overlap(plain).first().n_overlap == 0
+    both = dataset.train_valid_split(df, train_on_all=True)
+    assert dataset.split_overlap(both).first().n_overlap == 3
+    assert both.where("split = 'train'").count() == 30
