@@ -161,7 +161,3 @@ def rewrite_phrase(text, find: str, replacement: str) -> Column:
     """Literal phrase rewrite."""
     return F.replace(_col(text), F.lit(find), F.lit(replacement))
 
-
-def py_strip_pattern() -> tuple[str, str]:
-    """Patterns equal to Python ``str.strip()`` on Unicode white space."""
-    return r"^[\s\p{Z}]+", r"[\s\p{Z}]+$"

@@ -145,9 +145,3 @@ def predict_dictionary(lexicon: DataFrame, oov: DataFrame) -> DataFrame:
     """P9 dictionary: lexicon, oov inserted if absent, then I2."""
     return merge([lexicon, oov], policy="first", by_length=True)
 
-
-def to_json_object(d: DataFrame) -> DataFrame:
-    """B2 export: one row holding the dictionary as an ordered JSON object."""
-    entries = F.array_sort(F.collect_list(F.struct("rank", "key", "value")))
-    return d.agg(F.to_json(F.map_from_entries(
-        F.transform(entries, lambda e: F.struct(e["key"], e["value"])))).alias("json"))

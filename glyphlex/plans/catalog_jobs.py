@@ -3,12 +3,9 @@ training-table jobs, encodings and I/O round trips (see ``catalog`` for part 1).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.symbols import extract_symbols
 from ..operators import dataset, mining, pseudo, reconcile, vocab, vote
 from ..operators import dictionaries as dicts
 from ..operators import substitute as subst
@@ -599,8 +596,6 @@ def q_b3(spark, sf):
     return back.select("id", "prediction", F.col("min_votes").cast("long").alias("min_votes"))
 
 
-del math, extract_symbols
-
 
 # ---------------------------------------------------------------------------
 # E11, G5, P8 and the annotation round trip

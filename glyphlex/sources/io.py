@@ -29,7 +29,10 @@ JSON_EXPORT_MAX_ENTRIES = 5_000_000
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A1: tab-separated text with a header and a fixed schema."""
+    """A1: tab-separated text with a header and a fixed schema.
+
+    Unlike pandas, the literal strings ``NA`` / ``null`` / ``nan`` stay text (this
+    is text data); only an empty field reads back as null."""
     return spark.read.schema(schema).options(**TSV_OPTIONS).csv(path)
 
 

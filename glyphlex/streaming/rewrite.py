@@ -8,7 +8,6 @@ the query is defined, checked for size, and inlined into the expression.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import substitute as fs
 from ..functions.text import normalize_text, remove_spaces
@@ -50,5 +49,3 @@ def start_rewrite(stream: DataFrame, dictionary: DataFrame, sink_path: str,
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
-
-del F

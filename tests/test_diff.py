@@ -67,3 +67,10 @@ def test_long_texts_are_diffed_whole():
     b = "好" * 150 + "狗" + "好" * 150
     pairs = extract_pairs(a, b)
     assert all(len(k) + len(t) > 0 for k, t in pairs)
+
+
+def test_diff_table(spark):
+    from glyphlex.operators.diff import diff_table
+    df = spark.createDataFrame([(7, "甲AB乙", "甲a乙")], "row_id long, a string, b string")
+    got = [(r.step, r.op, r.ch) for r in diff_table(df, "a", "b").orderBy("step").collect()]
+    assert got == [(0, " ", "甲"), (1, "+", "a"), (2, "-", "A"), (3, "-", "B"), (4, " ", "乙")]
