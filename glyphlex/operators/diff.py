@@ -21,8 +21,37 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 ASCII_LETTERS = "QWERTYUIOPASDFGHJKLZXCVBNMqwertyuiopasdfghjklzxcvbnm"
 
 
-def diff_ops(a: str, b: str) -> list[tuple[str, str]]:
-    """``[(op, ch)]`` with op in ``'-' '+' ' '``, per code point."""
+POPULAR_FROM = 200  # the diff's popular-character rule applies from this length of b
+
+
+class _FindMatcher(difflib.SequenceMatcher):
+    """``SequenceMatcher`` whose longest-match search uses ``str.find``.
+
+    Below ``POPULAR_FROM`` characters in ``b`` the library has no junk and no
+    popular characters, and its longest match is the longest common substring
+    with the earliest start in ``a``, then in ``b`` - exactly what this search
+    returns.  Block recursion and opcodes are the library's own code.
+    """
+
+    def find_longest_match(self, alo=0, ahi=None, blo=0, bhi=None):
+        a, b = self.a, self.b
+        ahi = len(a) if ahi is None else ahi
+        bhi = len(b) if bhi is None else bhi
+        find = b.find
+        best, besti, i = 0, alo, alo
+        while i + best < ahi:
+            if find(a[i:i + best + 1], blo, bhi) >= 0:
+                k = best + 1
+                while i + k < ahi and find(a[i:i + k + 1], blo, bhi) >= 0:
+                    k += 1
+                best, besti = k, i
+            i += 1
+        if best == 0:
+            return difflib.Match(alo, blo, 0)
+        return difflib.Match(besti, find(a[besti:besti + best], blo, bhi), best)
+
+
+def _differ_ops(a: str, b: str) -> list[tuple[str, str]]:
     out = []
     for line in difflib.Differ().compare(a, b):
         op = line[0]
@@ -31,6 +60,35 @@ def diff_ops(a: str, b: str) -> list[tuple[str, str]]:
     return out
 
 
+def diff_ops(a: str, b: str) -> list[tuple[str, str]]:
+    """``[(op, ch)]`` with op in ``'-' '+' ' '``, per code point.
+
+    Equal to ``difflib.Differ().compare(a, b)``: a changed block prints the
+    shorter side first (deletions first on ties).  Single characters never
+    score as "similar", so below ``POPULAR_FROM`` characters a changed block
+    holds no common character and the library's replace step reduces to that
+    order; from ``POPULAR_FROM`` on the library itself runs (popular-character
+    rule included).
+    """
+    if len(b) >= POPULAR_FROM:
+        return _differ_ops(a, b)
+    out: list[tuple[str, str]] = []
+    for tag, i1, i2, j1, j2 in _FindMatcher(None, a, b).get_opcodes():
+        if tag == "equal":
+            out.extend((" ", c) for c in a[i1:i2])
+        elif tag == "delete":
+            out.extend(("-", c) for c in a[i1:i2])
+        elif tag == "insert":
+            out.extend(("+", c) for c in b[j1:j2])
+        elif (j2 - j1) < (i2 - i1):
+            out.extend(("+", c) for c in b[j1:j2])
+            out.extend(("-", c) for c in a[i1:i2])
+        else:
+            out.extend(("-", c) for c in a[i1:i2])
+            out.extend(("+", c) for c in b[j1:j2])
+    return out
+
+
 def extract_pairs(a: str, b: str, strict: bool = False) -> list[tuple[str, str]]:
     """(key, text) pairs from the diff of a (symbol text) and b (plain text).
 

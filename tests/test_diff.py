@@ -74,3 +74,15 @@ def test_diff_table(spark):
     df = spark.createDataFrame([(7, "甲AB乙", "甲a乙")], "row_id long, a string, b string")
     got = [(r.step, r.op, r.ch) for r in diff_table(df, "a", "b").orderBy("step").collect()]
     assert got == [(0, " ", "甲"), (1, "+", "a"), (2, "-", "A"), (3, "-", "B"), (4, " ", "乙")]
+
+
+def test_fast_path_equals_library_differ():
+    import random
+
+    from glyphlex.operators.diff import _differ_ops
+    rng = random.Random(11)
+    for alpha in ["ab 🐶狗猫AaBb.", "ab", "the quick 🐱 fox", "xyzxyzxy狗"]:
+        for _ in range(3000):
+            a = "".join(rng.choice(alpha) for _ in range(rng.randint(0, 190)))
+            b = "".join(rng.choice(alpha) for _ in range(rng.randint(0, 199)))
+            assert diff_ops(a, b) == _differ_ops(a, b), (a, b)
