@@ -22,14 +22,26 @@ def symbol_occurrences(df: DataFrame, text_col: str, row_id: str = "row_id") ->
     return df.select(row_id, F.posexplode(extract_symbols(text_col)).alias("seq", "symbol"))
 
 
-def symbol_frequency(df: DataFrame, text_col: str) -> DataFrame:
-    """G1: (symbol, cnt) with repeats counted."""
-    return (df.select(F.explode(extract_symbols(text_col)).alias("symbol"))
-            .groupBy("symbol").agg(F.count(F.lit(1)).alias("cnt")))
+def known_symbols(occurrences: DataFrame, symbol_table: DataFrame,
+                  column: str = "symbol") -> DataFrame:
+    """Narrow grammar matches to a closed symbol list (``symbol_table`` has a
+    ``symbol`` column) with a left-semi equi-join; Spark broadcasts the list
+    when its statistics allow, otherwise it shuffles both sides."""
+    table = symbol_table.select(F.col("symbol").alias(column)).distinct()
+    return occurrences.join(table, column, "left_semi")
+
+
+def symbol_frequency(df: DataFrame, text_col: str,
+                     symbol_table: DataFrame | None = None) -> DataFrame:
+    """G1: (symbol, cnt) with repeats counted; optionally only listed symbols."""
+    occ = df.select(F.explode(extract_symbols(text_col)).alias("symbol"))
+    if symbol_table is not None:
+        occ = known_symbols(occ, symbol_table)
+    return occ.groupBy("symbol").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def symbol_totals(df: DataFrame, text_col: str) -> DataFrame:
-    """One row (total, n_distinct, n_rows_with_symbols)."""
+    """One row (total, n_distinct): symbol occurrences and distinct symbols."""
     occ = df.select(extract_symbols(text_col).alias("syms"))
     per = occ.select(F.size("syms").alias("n"), F.explode_outer("syms").alias("symbol"))
     return per.agg(F.count("symbol").alias("total"),
