@@ -12,8 +12,9 @@ ranks, the first ``ceil(0.1 n)`` rows of a shuffled order).  A global
 3. per-partition counts (one row per partition) give offsets through a window
    over that tiny table, joined back by broadcast (its size is the partition count).
 
-Both branches read the same range exchange (Spark reuses it), so counts and
-positions agree.  Callers must pass a total order (ties broken by a unique key).
+The tagged rows are written once to the shared checkpoint folder and both
+branches read that table, so counts and positions always agree (no reliance on
+exchange reuse, and a recomputed partition cannot land on other range bounds).  Callers must pass a total order (ties broken by a unique key).
 
 Inputs proven small by an exact bounded count (``limit(N + 1).count() <= N``,
 default N = 100,000 rows, e.g. dictionaries and vocabularies) take a single
@@ -28,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -51,6 +54,9 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], out: str,
               .sortWithinPartitions(*cols)
               .withColumn("_gl_pid", F.spark_partition_id())
               .withColumn("_gl_mid", F.monotonically_increasing_id()))
+    # written once: counts and positions then come from the same rows, whatever
+    # the exchange-reuse setting, and a lost executor cannot re-sample the ranges
+    tagged = materialize(tagged, "dense-index")
     counts = tagged.groupBy("_gl_pid").agg(F.count(F.lit(1)).alias("_gl_n"))
     w = Window.orderBy("_gl_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_gl_pid", F.coalesce(F.sum("_gl_n").over(w), F.lit(0))

@@ -81,3 +81,11 @@ def test_split_sizes_and_overlap(spark):
     both = dataset.train_valid_split(df, train_on_all=True)
     assert dataset.split_overlap(both).first().n_overlap == 3
     assert both.where("split = 'train'").count() == 30
+
+
+def test_distributed_dense_index_path(spark):
+    df = spark.range(0, 20000, numPartitions=5).select(
+        (F.col("id") * 7919 % 20011).alias("k"), F.col("id"))
+    out = dense_index(df, [F.desc("k"), "id"], "i", num_partitions=7, small_rows=0).collect()
+    by = sorted(out, key=lambda r: (-r.k, r.id))
+    assert [r.i for r in by] == list(range(20000))
