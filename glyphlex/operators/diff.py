@@ -145,6 +145,13 @@ def reconcile_decision(raw_clean: str, model_clean: str, model: str) -> tuple[bo
 PAIR_SCHEMA = "row_id long, seq int, key string, text string, weight long"
 
 
+def python_partitions(spark) -> int:
+    """Partitions for a CPU-bound Python stage after a shuffle: the cluster's
+    shuffle partition count, at least its parallelism."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
+               spark.sparkContext.defaultParallelism)
+
+
 def mine_pairs(df: DataFrame, source: str = "source_text", target: str = "target_text",
                row_id: str = "row_id", strict: bool = False, dedupe: bool = True) -> DataFrame:
     """(row_id, seq, key, text, weight) for every mined pair, ``seq`` = order in the row.
@@ -159,8 +166,12 @@ def mine_pairs(df: DataFrame, source: str = "source_text", target: str = "target
                       F.col(source).alias("a"), F.col(target).alias("b"))
             .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))))
     if dedupe:
-        work = work.groupBy("a", "b").agg(F.min("row_id").alias("row_id"),
-                                          F.count(F.lit(1)).alias("w"))
+        # partial aggregation collapses repeated pairs map-side; the distinct
+        # pairs are then hash-spread over an explicit partition count, which AQE
+        # never coalesces, so the CPU-bound Python stage keeps its parallelism
+        work = (work.groupBy("a", "b").agg(F.min("row_id").alias("row_id"),
+                                           F.count(F.lit(1)).alias("w"))
+                .repartition(python_partitions(df.sparkSession), "a", "b"))
     else:
         work = work.withColumn("w", F.lit(1).cast("long"))
 

@@ -36,3 +36,16 @@ def test_training_table_and_feedback(spark):
     fed = jobs.feed_back(post["pseudo_labels"], test, table, t["dictionary"])
     assert fed.where("origin = 'pseudo'").count() == post["pseudo_labels"].where(
         "min_votes = 3").count()
+
+
+def test_lookup_first_and_missing_ids(spark):
+    import pytest as _pt
+
+    from glyphlex.operators.pseudo import lookup_first
+    left = spark.createDataFrame([(1,), (2,)], "id long")
+    right = spark.createDataFrame([(1, "b", 5), (1, "a", 3), (2, "z", 1)],
+                                  "id long, text string, pos long")
+    got = {r.id: r.src for r in lookup_first(left, right, "id", "text", "src", "pos").collect()}
+    assert got == {1: "a", 2: "z"}
+    with _pt.raises(KeyError):
+        lookup_first(spark.createDataFrame([(9,)], "id long"), right, "id", "text", "src", "pos")
