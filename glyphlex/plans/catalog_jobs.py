@@ -423,7 +423,21 @@ def q_g12(spark, sf):
     return reconcile.decision_counters(r).drop("too_long")
 
 
-@register("d10_too_long_flag", None)
+@register("d10_too_long_flag", with_fixtures(["RECON"], _occ_cte(), INJ_CTE, MINED_CTE, COMMON_CTE,
+                                             body=f"""
+SELECT decision, count(*) FILTER (WHERE too_long) AS n_too_long, count(*) AS n_rows FROM (
+  SELECT CASE WHEN rule = model THEN 'equal' WHEN contains(rule, '猫') THEN 'rule'
+              ELSE 'model' END AS decision,
+         rule <> model AND
+         length(regexp_replace(model, {q(NOT_CJK_ALNUM)}, '', 'g'))
+           > 3 * greatest(1, len(list_distinct(regexp_extract_all(raw, {q(PAT)}, 0))))
+             + length(regexp_replace(list_reduce(
+                 (SELECT list(key ORDER BY rank) FROM common
+                  WHERE regexp_full_match(key, {q(PAT)})),
+                 lambda acc, k: replace(acc, k, ''), replace(raw, ' ', '')),
+                 {q(NOT_CJK_ALNUM)}, '', 'g')) AS too_long
+  FROM recon)
+GROUP BY decision"""))
 def q_d10(spark, sf):
     r = reconcile.reconcile(fx.reconcile_inputs(spark, sf), _symbol_keys(spark, sf))
     return r.groupBy("decision").agg(F.count_if("too_long").alias("n_too_long"),
