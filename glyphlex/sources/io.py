@@ -84,9 +84,13 @@ def read_dict(spark: SparkSession, path: str, value_type: str = "string") -> Dat
     ``value_type`` may be ``array<string>`` for multi-maps."""
     text = spark.read.option("wholetext", "true").text(path)
     parsed = text.select(F.posexplode(F.map_entries(
-        F.from_json("value", f"map<string,{value_type}>"))).alias("rank", "e"))
-    return parsed.select(F.col("e.key").alias("key"), F.col("e.value").alias("value"),
-                         F.col("rank").cast("long").alias("rank"))
+        F.from_json("value", f"map<string,{value_type}>"))).alias("pos", "e"))
+    # a key written twice keeps its first position and its last value
+    dedup = (parsed.select(F.col("e.key").alias("key"), F.col("e.value").alias("value"),
+                           F.col("pos").cast("long").alias("pos"))
+             .groupBy("key").agg(F.max_by("value", "pos").alias("value"),
+                                 F.min("pos").alias("first")))
+    return dense_index(dedup, ["first"], "rank").select("key", "value", "rank")
 
 
 def write_dict_json(d: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -117,3 +117,16 @@ def test_unique_map_filter(spark):
     assert sorted(r.row_id for r in kept.collect()) == [2, 3]
     c = counters.first()
     assert (c.n_touched, c.n_still_different) == (2, 1)
+
+
+def test_read_dict_duplicate_keys_and_multimap(spark, tmp_path):
+    from glyphlex.sources import io
+    p = tmp_path / "d.json"
+    p.write_text('{"a": "1", "b": "x", "a": "2"}', encoding="utf-8")
+    got = [(r.key, r.value, r.rank) for r in io.read_dict(spark, str(p)).orderBy("rank").collect()]
+    assert got == [("a", "2", 0), ("b", "x", 1)]
+    m = tmp_path / "m.json"
+    m.write_text('{"🐶": ["狗", "小狗"], "🐱": ["猫"]}', encoding="utf-8")
+    got = [(r.key, r.value) for r in io.read_dict(spark, str(m), "array<string>")
+           .orderBy("rank").collect()]
+    assert got == [("🐶", ["狗", "小狗"]), ("🐱", ["猫"])]
