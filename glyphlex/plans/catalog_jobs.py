@@ -275,7 +275,8 @@ def _vote_ctes(fb: str) -> list[str]:
 
 
 def _voted(spark, sf, fallback="lowest"):
-    return vote.vote(fx.candidates(spark, sf), fx.test_table(spark, sf), fallback)
+    return vote.vote(fx.candidates(spark, sf), fx.test_table(spark, sf), fallback,
+                     systems=fx.SYSTEMS)
 
 
 @register("p13_vote_lowest", with_fixtures(["CAND"], *_vote_ctes("s3"), body="SELECT * FROM voted"))
@@ -299,7 +300,8 @@ def q_g8(spark, sf):
 SELECT id, p1, c1, p2, c2 FROM top"""))
 def q_h4(spark, sf):
     c = fx.candidates(spark, sf)
-    return vote.top_two(vote.answer_counts(c, vote.fallback_position(c))).select(
+    return vote.top_two(vote.answer_counts(c, vote.fallback_position(
+        c, systems=fx.SYSTEMS))).select(
         "id", "p1", "c1", "p2", "c2")
 
 

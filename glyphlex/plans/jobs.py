@@ -70,14 +70,15 @@ def training_table(train: DataFrame, speech_labels: DataFrame | None = None,
 
 def post_process(test: DataFrame, rule_predictions: DataFrame, models: DataFrame,
                  symbol_keys: DataFrame, fallback: str = "lowest",
-                 thresholds: Sequence[int] = (3, 4, 5, 6)) -> dict[str, DataFrame]:
+                 thresholds: Sequence[int] = (3, 4, 5, 6),
+                 systems: Sequence[tuple[str, int, int]] | None = None) -> dict[str, DataFrame]:
     """Entry 3: E5 on every system, P12 reconcile, P13 vote over the widened
     outputs, P14 pseudo-labels, P15 pseudo pairs."""
     widened = (models.join(test.select("id", F.col("text").alias("_gl_raw")), "id", "inner")
                .withColumn("prediction", align_punct("_gl_raw", "prediction"))
                .drop("_gl_raw"))
     reconciled = reconcile.reconcile_many(models, test, rule_predictions, symbol_keys)
-    voted = vote.vote(widened, test, fallback)
+    voted = vote.vote(widened, test, fallback, systems=systems)
     labels = vote.pseudo_labels(voted, thresholds)
     return {"widened": widened, "reconciled": reconciled,
             "counters": reconcile.decision_counters(reconciled, keys=("system",)),
