@@ -16,10 +16,11 @@ The tagged rows are written once to the shared checkpoint folder and both
 branches read that table, so counts and positions always agree (no reliance on
 exchange reuse, and a recomputed partition cannot land on other range bounds).  Callers must pass a total order (ties broken by a unique key).
 
-Inputs proven small by an exact bounded count (``limit(N + 1).count() <= N``,
-default N = 100,000 rows, e.g. dictionaries and vocabularies) take a single
-sorted partition instead: one stage instead of five, and the bound is checked,
-not assumed.
+The input is first written to the checkpoint folder (its upstream - usually a
+scan, an explode and an aggregation - runs once, and lineage is cut).  Inputs
+whose exact count is at most N (default 100,000 rows: dictionaries,
+vocabularies) then take a single sorted partition instead: one stage instead of
+five, and the bound is checked, not assumed.
 """
 
 from __future__ import annotations
@@ -46,7 +47,10 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], out: str,
     """Add ``out`` = 0-based position of each row in ``order``."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     bound = SMALL_ROWS if small_rows is None else small_rows
-    if bound > 0 and df.limit(bound + 1).count() <= bound:
+    # the input is written once: the size check and the index read the same rows
+    # and the (usually expensive) upstream runs a single time
+    df = materialize(df, "dense-input")
+    if bound > 0 and df.count() <= bound:
         w = Window.orderBy(*cols)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
     n = _partitions(df, num_partitions)
