@@ -49,3 +49,29 @@ def test_lookup_first_and_missing_ids(spark):
     assert got == {1: "a", 2: "z"}
     with _pt.raises(KeyError):
         lookup_first(spark.createDataFrame([(9,)], "id long"), right, "id", "text", "src", "pos")
+
+
+XML = """<?xml version="1.0" encoding="UTF-8"?>
+<ldml><annotations>
+  <annotation cp="🐶">狗 | 小狗</annotation>
+  <annotation cp="‼" type="tts">双感叹号</annotation>
+  <annotation cp="🌕">满月 | 月亮</annotation>
+</annotations></ldml>
+"""
+
+
+def test_rule_baseline_with_annotations(spark, tmp_path):
+    from glyphlex.sources import io
+    p = tmp_path / "ann.xml"
+    p.write_text(XML, encoding="utf-8")
+    ann = io.read_annotations(spark, str(p))
+    train = spark.createDataFrame(
+        [(i, "我🐶了", "我🐶了", "我狗了") for i in range(3)],
+        "row_id long, raw_text string, source_text string, target_text string")
+    test = spark.createDataFrame([(1, "看🌕和🐶‼")], "id long, text string")
+    out = jobs.rule_baseline(train, test, annotations=ann)
+    d = {r.key: r.value for r in out["dictionary"].collect()}
+    # mined entry wins over the label; labels fill the rest (alias padding kept,
+    # as the rules-B quirk requires); specials override labels
+    assert d["🐶"] == "狗" and d["🌕"] == "满月 " and d["‼"] == "吃惊"
+    assert out["predictions"].first().prediction == "看满月 和狗吃惊"
