@@ -85,7 +85,6 @@ from ..functions.substitute import UNKNOWN  # noqa: E402
 from ..operators import dictionaries as dicts  # noqa: E402
 from ..operators import mining  # noqa: E402
 from ..operators import substitute as subst  # noqa: E402
-from .oracle_fixtures import FULL_PAT  # noqa: E402
 
 _INJ_VALUES = ", ".join(f"({q(s.strip())}, {q(t.strip())})" for _, s, t in fx.INJECTIONS)
 _SPECIAL_VALUES = ", ".join(f"({q(k)}, {q(v)}, {i})"

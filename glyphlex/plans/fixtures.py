@@ -2,7 +2,7 @@
 
 The driver's text holds no symbols, CJK or full-width characters, so symbols
 and words are injected with literal ``replace`` calls that DuckDB can repeat
-exactly (see ``plans.oracle`` for the SQL twins).  Every table here is derived
+exactly (see ``plans.oracle_fixtures`` for the SQL twins).  Every table here is derived
 from the whole ``documents`` table, so its size grows with the scale factor.
 """
 
