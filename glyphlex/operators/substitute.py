@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions import substitute as fs
 from ..functions.symbols import extract_symbols, is_symbol
+from ..session import materialize
 
 NATIVE_MAX_KEYS = 256
 BROADCAST_MAX_BYTES = 64 << 20
@@ -154,7 +155,7 @@ def apply_fold(df: DataFrame, text_col: str, dictionary: DataFrame, out_col: str
             return df.withColumn(out_col, fs.fold_replace(text_col, small))
         if path == "native":
             raise ValueError(f"dictionary exceeds {NATIVE_MAX_KEYS} entries for the native path")
-        dictionary = dictionary.persist()
+        dictionary = materialize(dictionary, "fold-dictionary")
         path = choose_path(dictionary)
     if path == "arrow":
         entries = collect_entries(dictionary)
@@ -178,11 +179,14 @@ def apply_fold(df: DataFrame, text_col: str, dictionary: DataFrame, out_col: str
     return out
 
 
-def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str) -> DataFrame:
+def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str,
+                     row_id: str | None = None) -> DataFrame:
     """Boolean ``out_col``: the text contains at least one key.
 
     Small key sets: native ``exists``.  Symbol-only key sets: semi join on the
-    exploded symbols (an equi-join).  Otherwise the Arrow automaton.
+    exploded symbols (an equi-join), regrouped on ``row_id`` (a unique row key;
+    without one, the rows are written once with a generated id so that both
+    sides of the join see the same ids).  Otherwise the Arrow automaton.
     """
     keyset = keys.select(F.col("key")).where(F.col("key").isNotNull() & (F.col("key") != ""))
     stats = keyset.agg(F.count(F.lit(1)).alias("n"),
@@ -192,13 +196,19 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
         ks = [r["key"] for r in keyset.collect()]
         return df.withColumn(out_col, fs.contains_any(text_col, ks))
     if stats["all_sym"] == 1:
-        rid = "_gl_rid"
-        tagged = df.withColumn(rid, F.monotonically_increasing_id())
-        hits = (tagged.select(rid, F.explode(extract_symbols(text_col)).alias("key"))
+        if row_id is not None and row_id in df.columns:
+            rid, tagged = row_id, df
+        else:
+            rid = "_gl_rid"
+            tagged = materialize(df.withColumn(rid, F.monotonically_increasing_id()),
+                                 "flag-rows")
+        hits = (tagged.select(rid, F.explode(F.array_distinct(extract_symbols(text_col)))
+                              .alias("key"))
                 .join(keyset.distinct(), "key", "left_semi").select(rid).distinct()
                 .withColumn(out_col, F.lit(True)))
-        return (tagged.join(hits, rid, "left")
-                .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(False))).drop(rid))
+        out = (tagged.join(hits, rid, "left")
+               .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(False))))
+        return out if rid == row_id else out.drop(rid)
     spark = df.sparkSession
     if stats["n"] <= COLLECT_MAX_ROWS:
         entries = [(k, "") for k, _v in collect_entries(
@@ -262,7 +272,7 @@ def apply_unique_map(pairs: DataFrame, unique: DataFrame, source: str = "source_
     Returns (kept rows with the rewritten source, one-row counters
     ``(n_touched, n_still_different)``)."""
     keys = unique.select("key")
-    flagged = contains_any_key(pairs, source, keys, "_gl_touched")
+    flagged = contains_any_key(pairs, source, keys, "_gl_touched", row_id="row_id")
     rewritten = apply_fold(flagged, source, unique, "_gl_new")
     rewritten = rewritten.withColumn(source, F.when(F.col("_gl_touched"), F.col("_gl_new"))
                                      .otherwise(F.col(source)))

@@ -485,7 +485,7 @@ def q_e12(spark, sf):
     p = fx.pairs(spark, sf, ambiguous=True)
     counts = mining.pair_counts(mining.mined_pairs(p))
     keys = mining.ambiguous_map(counts).select("key").distinct()
-    flagged = subst.contains_any_key(p, "source_text", keys, "has_ambiguous")
+    flagged = subst.contains_any_key(p, "source_text", keys, "has_ambiguous", row_id="row_id")
     return flagged.groupBy("has_ambiguous").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -496,7 +496,7 @@ WHERE EXISTS (SELECT 1 FROM common c WHERE contains(p.source_text, c.key))"""))
 def q_f8(spark, sf):
     p = fx.pairs(spark, sf)
     keys = _lexicon(spark, sf)["common"].select("key")
-    flagged = subst.contains_any_key(p, "source_text", keys, "_hit")
+    flagged = subst.contains_any_key(p, "source_text", keys, "_hit", row_id="row_id")
     return flagged.where("_hit").select("doc_id", "pos")
 
 

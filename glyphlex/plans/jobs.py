@@ -46,7 +46,7 @@ def rule_baseline(train: DataFrame, test: DataFrame, annotations: DataFrame | No
     dictionary = dicts.predict_dictionary(refined, oov)
     amb_keys = lex["ambiguous"].select("key").distinct()
     flagged = substitute.contains_any_key(test.select("id", "text"), "text", amb_keys,
-                                          "has_ambiguous")
+                                          "has_ambiguous", row_id="id")
     predictions = substitute.apply_fold(flagged, "text", dictionary, "prediction")
     return {"common": lex["common"], "ambiguous": lex["ambiguous"], "lexicon": refined,
             "oov": oov, "dictionary": dictionary,

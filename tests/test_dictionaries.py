@@ -130,3 +130,16 @@ def test_read_dict_duplicate_keys_and_multimap(spark, tmp_path):
     got = [(r.key, r.value) for r in io.read_dict(spark, str(m), "array<string>")
            .orderBy("rank").collect()]
     assert got == [("🐶", ["狗", "小狗"]), ("🐱", ["猫"])]
+
+
+def test_contains_any_symbol_join_with_row_key(spark):
+    keys = spark.createDataFrame([(k,) for k in ["🐶", "🐱"]], "key string")
+    df = spark.createDataFrame([(1, "a🐶🐶"), (2, "b"), (3, "🐱x🐶")], "row_id long, t string")
+    old = S.NATIVE_MAX_KEYS
+    try:
+        S.NATIVE_MAX_KEYS = 0
+        got = {r.row_id: r.hit for r in S.contains_any_key(df, "t", keys, "hit", row_id="row_id")
+               .collect()}
+    finally:
+        S.NATIVE_MAX_KEYS = old
+    assert got == {1: True, 2: False, 3: True}
