@@ -48,9 +48,12 @@ def rule_baseline(train: DataFrame, test: DataFrame, annotations: DataFrame | No
     flagged = substitute.contains_any_key(test.select("id", "text"), "text", amb_keys,
                                           "has_ambiguous", row_id="id")
     predictions = substitute.apply_fold(flagged, "text", dictionary, "prediction")
+    predictions = predictions.select("id", "prediction", "has_ambiguous")
+    counters = predictions.agg(F.count(F.lit(1)).alias("n_rows"),
+                               F.count_if("has_ambiguous").alias("n_with_ambiguous"))
     return {"common": lex["common"], "ambiguous": lex["ambiguous"], "lexicon": refined,
-            "oov": oov, "dictionary": dictionary,
-            "predictions": predictions.select("id", "prediction", "has_ambiguous")}
+            "oov": oov, "dictionary": dictionary, "predictions": predictions,
+            "counters": counters}
 
 
 def training_table(train: DataFrame, speech_labels: DataFrame | None = None,

@@ -75,3 +75,5 @@ def test_rule_baseline_with_annotations(spark, tmp_path):
     # as the rules-B quirk requires); specials override labels
     assert d["🐶"] == "狗" and d["🌕"] == "满月 " and d["‼"] == "吃惊"
     assert out["predictions"].first().prediction == "看满月 和狗吃惊"
+    c = out["counters"].first()
+    assert (c.n_rows, c.n_with_ambiguous) == (1, 0)
