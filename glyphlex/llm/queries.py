@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, packing, sharding, simhash
+from . import decontaminate, exact_dedup, packing, quality, sharding, simhash, toxicity
 from .common import hex64, table
+from .labelled import held_out
 from .tokens import tokenizer_path
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -92,3 +93,23 @@ def op3(spark, sf_dir):
     """Sum-of-squares packing of all documents into sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(PACK_TOKENIZER), PACK_END,
                         with_ids=False)
+
+
+def _scored(found, threshold):
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"), held_out(F.col("_row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@register("op6_quality")
+def op6(spark, sf_dir):
+    """Quality of every document by compression with good and bad dictionaries."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _scored(quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    """Toxicity of every document by positive-unlabelled learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _scored(toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))), 0.5)

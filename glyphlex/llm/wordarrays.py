@@ -98,9 +98,16 @@ class Words:
         power, inverse = _powers_up_to(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(low * power[:n], out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * inverse[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(np.uint64) * _BASE)
-        self.low = low
+        self._sums, self._inverse = sums, inverse
+        self.hash = self._digest(self.start, self.end)
+
+    def _digest(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (self._sums[end] - self._sums[start]) * self._inverse[start]
+        return mix(h + (end - start).astype(np.uint64) * _BASE)
+
+    def prefix(self, which: np.ndarray, k: int) -> np.ndarray:
+        """Digests of the first k bytes of some (longer) words; never those of a word."""
+        return ~self._digest(self.start[which], self.start[which] + k)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
