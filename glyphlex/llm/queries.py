@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, packing, quality, sharding, simhash, toxicity
+from . import (
+    decontaminate,
+    exact_dedup,
+    lm_score,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    token_trees,
+    toxicity,
+    warc,
+)
 from .common import hex64, table
 from .labelled import held_out
 from .tokens import tokenizer_path
@@ -113,3 +124,57 @@ def op10(spark, sf_dir):
     """Toxicity of every document by positive-unlabelled learning."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _scored(toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
+@register("op9_warc")
+def op9(spark, sf_dir):
+    """All pages written as WARC records and read back."""
+    pages = table(spark, sf_dir, "pages")
+    folder, manifest = warc.write_archives(pages, min_bytes=0)
+    back = warc.read_archives(spark, folder, manifest, with_data=False).where("last")
+    kind = pages.schema["page_id"].dataType
+    return back.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+@register("op2_lm_score")
+def op2(spark, sf_dir):
+    """Masked pseudo-likelihood of every document, by a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm_score.score(docs, lm_score.train(docs))
+    return found.select("_row.doc_id", "n_tokens", "log_prob",
+                        F.try_divide("log_prob", "n_tokens").alias("mean_log_prob"))
+
+
+COUNT_RANKS = "byte_bpe_50k.tiktoken"
+
+
+def document_edits(doc_id, text):
+    """Three edits of a text, from its identifier: a place, characters to remove, and
+    what comes in."""
+    def one(k):
+        h = F.xxhash64(F.lit(k), doc_id)
+        added = F.element_at(F.array(*map(F.lit, ["", " and so on", "\n\n## 42. ", " déjà-vu,"])),
+                             (F.pmod(h, F.lit(4)) + 1).cast("int"))
+        return F.struct(F.pmod(F.shiftrightunsigned(h, 8), F.coalesce(F.length(text), F.lit(0)) + 1)
+                        .cast("int").alias("at"),
+                        F.pmod(F.shiftrightunsigned(h, 40), F.lit(40)).cast("int").alias("removed"),
+                        added.alias("added"))
+    return F.array(*[one(k) for k in range(3)])
+
+
+@register("op5_token_counts")
+def op5(spark, sf_dir):
+    """Token counts of all documents before and after three edits of each."""
+    import public_tokenizers
+    ranks, pattern = tokenizer_path(COUNT_RANKS), public_tokenizers.PATTERN
+    state = token_trees.build_trees(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
+    text, ident = F.col("_row.text"), F.col("_row.doc_id")
+    done = state.withColumn("done", token_trees.apply_edits(
+        text, F.col("tree"), document_edits(ident, text), ranks, pattern))
+    return done.select(
+        ident.alias("doc_id"), "n_tokens", token_trees.n_tokens(F.col("done.tree")).alias("n_tokens_edited"),
+        F.length("done.text").cast("long").alias("n_chars_edited"),
+        F.crc32(F.encode("done.text", "UTF-8")).alias("text_crc32"),
+        F.col("done.encoded").alias("chars_encoded_again"))
