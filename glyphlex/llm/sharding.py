@@ -143,9 +143,9 @@ def shard(docs: DataFrame, n_shards: int = 16, text: str = "text", doc_id: str =
     counts = sizes.select("size", *place(F.col("key"))).groupBy("shard", "part").agg(
         F.count(F.lit(1)).alias("n"))
     # one row for each range: at most n_shards * sub
-    first = counts.select("shard", "part", (F.coalesce(F.sum("n").over(
+    first = materialize(counts.select("shard", "part", (F.coalesce(F.sum("n").over(
         W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)),
-        F.lit(0))).alias("first"))
+        F.lit(0))).alias("first")), "range-starts")
     inside = W.partitionBy("part").orderBy("key")
     return (docs.select(packed(docs), shard_key(t, i).alias("key"), text_bytes(t).alias("size"))
             .select("_row", "key", "size", *place(F.col("key")))
