@@ -8,10 +8,13 @@ import re
 import numpy as np
 import pyarrow as pa
 
-#: Most entries of a worker's cache; it starts anew beyond that.
-CACHE_ENTRIES = 400_000
+#: Most entries of each of a worker's two caches; a cache starts anew beyond that.
+CACHE_ENTRIES = 600_000
+#: Text bytes whose new words are encoded together, and words of one call.
+GROUP_BYTES, JOINED = 1 << 20, 500
 
-_LETTERS_THEN_MARKS = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)\Z")
+#: A run of plain or Latin-1 letters, then marks without an apostrophe.
+_WORD = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,10 +26,10 @@ class WordEncoder(dict):
     """bytes without white space -> their identifiers as little-endian unsigned
     32-bit numbers.
 
-    For tokenizers that drop white space, lower-case, and cut words from marks:
-    identifiers of a text are then those of its white-space-separated pieces in
-    order, and a piece of plain letters followed by marks (no apostrophe) is cut
-    between the two.
+    For tokenizers that drop white space, lower-case, cut words from marks and mark
+    the last token of a word: identifiers of a text are then those of its
+    white-space-separated pieces in order, a piece of letters followed by marks is
+    cut between the two, and many words may be encoded in one call.
     """
 
     def __init__(self, path: str):
@@ -34,31 +37,75 @@ class WordEncoder(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {b"": b""}
 
     def __missing__(self, piece: bytes) -> bytes:
-        if cut := _LETTERS_THEN_MARKS.match(piece):
-            ids = self[cut[1]] + self[cut[2]]
-        else:
-            ids = self.whole(piece.decode())
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[piece] = ids
-        return ids
+        return self.whole(piece.decode())
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def encode(self, text: bytes) -> bytes:
-        if b"<|" in text:  # special tokens are written in exact case
-            return self.whole(text.decode())
-        return b"".join(map(self.__getitem__, text.lower().split()))
+    def learn(self, pieces: set[bytes]) -> None:
+        """Identifiers of new pieces."""
+        cut, words = [], set()
+        for piece in pieces:
+            m = _WORD.match(piece)
+            if not m:
+                self[piece] = self.whole(piece.decode())
+                continue
+            word, marks = m.groups()
+            cut.append((piece, word, marks))
+            if word not in self.words:
+                words.add(word)
+            if marks not in self.marks:
+                self.marks[marks] = self.whole(marks.decode())
+        new = list(words)
+        for k in range(0, len(new), JOINED):
+            part = new[k:k + JOINED]
+            got = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+            ids = np.array(got[0].ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not end every word with one marked token")
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist()):
+                self.words[word] = raw[at:end]
+                at = end
+        for piece, word, marks in cut:
+            self[piece] = self.words[word] + self.marks[marks] if marks else self.words[word]
 
     def encode_all(self, texts: pa.Array):
         """One buffer of identifiers for each text; null counts as empty."""
+        group: list[bytes | list[bytes]] = []
+        held = 0
         for t in texts.cast(pa.large_binary()):
             b = t.as_buffer()
-            yield self.encode(b.to_pybytes()) if b is not None else b""
+            text = b.to_pybytes() if b is not None else b""
+            held += len(text)
+            # special tokens are written in exact case, so such a text is encoded whole
+            group.append(text if b"<|" in text else text.lower().split())
+            if held >= GROUP_BYTES:
+                yield from self._group(group)
+                group, held = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list):
+        if len(self) > CACHE_ENTRIES:
+            self.clear()
+        if len(self.words) > CACHE_ENTRIES:
+            self.words.clear()
+        new = set().union(*(x for x in group if isinstance(x, list)))
+        new = {x for x in new if x not in self}
+        if new:
+            self.learn(new)
+        for x in group:
+            yield (b"".join(map(self.__getitem__, x)) if isinstance(x, list)
+                   else self.whole(x.decode()))
 
 
 _encoders: dict[str, WordEncoder] = {}
