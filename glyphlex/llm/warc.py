@@ -241,18 +241,19 @@ class _Stream:
 
     def _more(self) -> bool:
         while True:
-            if self.inflate.eof:
-                self.raw = self.inflate.unused_data + self.raw
-                self.inflate = zlib.decompressobj(31)
+            if self.inflate.eof:  # the next member; all input left is in unused_data
+                self.raw, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
+            ended = False
             if not self.raw:
                 self.raw = bytes(self.source.read(READ))
-                if not self.raw:
-                    return False
+                ended = not self.raw
             data = self.inflate.decompress(self.raw, READ)
-            self.raw = self.inflate.unconsumed_tail
+            self.raw = b"" if self.inflate.eof else self.inflate.unconsumed_tail
             if data:
                 self.have += data
                 return True
+            if ended:
+                return False
 
     def head(self) -> list[str] | None:
         """Lines up to the next empty one; none at the end of the file."""
