@@ -3,14 +3,16 @@
 A character diff with the reference's block order (changed blocks print the
 shorter side first, ties print deletions first, and a popular-character rule
 applies once the second text reaches 200 characters) is not expressible in SQL,
-so it runs as an Arrow-batched ``mapInPandas`` stage over whole texts.  The
-diff itself is the standard library's ``difflib.Differ``; everything around it
-(filtering equal rows first, counting, ranking, joining) stays in Spark.
+so it runs as an Arrow-batched ``mapInPandas`` stage over whole texts of any
+length.  Matching blocks come from the standard library; everything around the
+diff (filtering equal rows first, counting, ranking, joining) stays in Spark.
 """
 
 from __future__ import annotations
 
 import difflib
+import string
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,9 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-ASCII_LETTERS = "QWERTYUIOPASDFGHJKLZXCVBNMqwertyuiopasdfghjklzxcvbnm"
-
-
 POPULAR_FROM = 200  # the diff's popular-character rule applies from this length of b
 
 
@@ -51,91 +50,104 @@ class _FindMatcher(difflib.SequenceMatcher):
         return difflib.Match(besti, find(a[besti:besti + best], blo, bhi), best)
 
 
-def _differ_ops(a: str, b: str) -> list[tuple[str, str]]:
-    out = []
-    for line in difflib.Differ().compare(a, b):
-        op = line[0]
-        if op in "-+ ":
-            out.append((op, line[-1]))
-    return out
+Block = tuple[str, str]  # "-", "+" or " ", and the characters
 
 
-def diff_ops(a: str, b: str) -> list[tuple[str, str]]:
-    """``[(op, ch)]`` with op in ``'-' '+' ' '``, per code point.
-
-    Equal to ``difflib.Differ().compare(a, b)``: a changed block prints the
-    shorter side first (deletions first on ties).  Single characters never
-    score as "similar", so below ``POPULAR_FROM`` characters a changed block
-    holds no common character and the library's replace step reduces to that
-    order; from ``POPULAR_FROM`` on the library itself runs (popular-character
-    rule included).
+def _changed(gone: str, come: str) -> Iterator[Block]:
+    """A changed block: the shorter side first, deletions first on ties."""
+    sides = [("-", gone), ("+", come)]
+    if len(come) < len(gone):
+        sides.reverse()
+    return (side for side in sides if side[1])
+
+
+def _replaced(x: str, y: str) -> Iterator[Block]:
+    """A replaced block of a long text, which may hold common (popular) characters.
+
+    Characters of ``y`` are taken in order; one that occurs in the rest of ``x``
+    ties the two sides together at its first place there, and what lies before it
+    is a changed block.  One pass: a character that is not found once is not
+    looked for again, since the rest of ``x`` only gets shorter.
     """
-    if len(b) >= POPULAR_FROM:
-        return _differ_ops(a, b)
-    out: list[tuple[str, str]] = []
-    for tag, i1, i2, j1, j2 in _FindMatcher(None, a, b).get_opcodes():
+    i = j = 0
+    absent: set[str] = set()
+    for k, ch in enumerate(y):
+        if ch in absent:
+            continue
+        place = x.find(ch, i)
+        if place < 0:
+            absent.add(ch)
+            continue
+        yield from _changed(x[i:place], y[j:k])
+        yield " ", ch
+        i, j = place + 1, k + 1
+    yield from _changed(x[i:], y[j:])
+
+
+def diff_blocks(a: str, b: str) -> Iterator[Block]:
+    """E15 as blocks of equal, deleted and inserted characters, in the order in which
+    ``difflib.Differ().compare(a, b)`` prints them."""
+    long = len(b) >= POPULAR_FROM
+    matcher = difflib.SequenceMatcher if long else _FindMatcher
+    for tag, i1, i2, j1, j2 in matcher(None, a, b).get_opcodes():
         if tag == "equal":
-            out.extend((" ", c) for c in a[i1:i2])
-        elif tag == "delete":
-            out.extend(("-", c) for c in a[i1:i2])
-        elif tag == "insert":
-            out.extend(("+", c) for c in b[j1:j2])
-        elif (j2 - j1) < (i2 - i1):
-            out.extend(("+", c) for c in b[j1:j2])
-            out.extend(("-", c) for c in a[i1:i2])
+            yield " ", a[i1:i2]
+        elif tag == "replace" and long:
+            yield from _replaced(a[i1:i2], b[j1:j2])
         else:
-            out.extend(("-", c) for c in a[i1:i2])
-            out.extend(("+", c) for c in b[j1:j2])
-    return out
+            yield from _changed(a[i1:i2], b[j1:j2])
+
+
+def diff_ops(a: str, b: str) -> list[tuple[str, str]]:
+    """``[(op, ch)]`` with op in ``'-' '+' ' '``, per code point."""
+    return [(op, ch) for op, text in diff_blocks(a, b) for ch in text]
 
 
 def extract_pairs(a: str, b: str, strict: bool = False) -> list[tuple[str, str]]:
     """(key, text) pairs from the diff of a (symbol text) and b (plain text).
 
-    Default mode keeps the reference's behaviour: deletions and insertions
-    accumulate; an unchanged character flushes only when both are non-empty, so
-    a lone deletion carries into the next key and a change at the very end is
-    dropped.  ``strict=True`` resets at every unchanged character and flushes at
-    the end.
+    What was deleted and inserted since the last pair is a pair as soon as an
+    equal block follows and neither is empty; so a lone deletion is carried into
+    the next key, and a change at the very end is dropped.  ``strict=True`` drops
+    what is carried at every equal block and takes the change at the end.
     """
-    key, text, out = "", "", []
-    for op, ch in diff_ops(a, b):
-        if op == "-":
-            key += ch
-        elif op == "+":
-            text += ch
-        elif key and text:
-            out.append((key, text))
-            key, text = "", ""
-        elif strict:
-            key, text = "", ""
-    if strict and key and text:
-        out.append((key, text))
+    since: dict[str, list[str]] = {"-": [], "+": []}
+    out = []
+    for op, text in [*diff_blocks(a, b), *([(" ", "")] if strict else [])]:
+        if op != " ":
+            since[op].append(text)
+            continue
+        pair = ("".join(since["-"]), "".join(since["+"]))
+        if all(pair):
+            out.append(pair)
+        if strict or all(pair):
+            since = {"-": [], "+": []}
     return out
 
 
+_LETTERS = frozenset(string.ascii_letters)
+
+
 def reconcile_decision(raw_clean: str, model_clean: str, model: str) -> tuple[bool, str]:
-    """E21 + P11 decision: walk the diff of the cleaned raw and model texts.
+    """E21 + P11 decision: (take the rule output?, model text with its case repaired).
 
-    A deleted character that is not an ASCII letter means "take the rule
-    output".  Deleted ASCII letters queue up; an inserted character equal to
-    the queue head ignoring case replaces every such character in ``model`` by
-    the head, which is then popped.
+    The rule output is taken if any deleted character is not an ASCII letter; the
+    model text is then of no use and stays as it is.  Otherwise the deleted
+    letters form a queue, and an inserted character that equals its head but for
+    case is written like the head everywhere in ``model``.
     """
-    pending = ""
-    use_rule = False
-    for op, ch in diff_ops(raw_clean, model_clean):
+    blocks = list(diff_blocks(raw_clean, model_clean))
+    if any(op == "-" and not _LETTERS.issuperset(text) for op, text in blocks):
+        return True, model
+    queue: deque[str] = deque()
+    for op, text in blocks:
         if op == "-":
-            if ch in ASCII_LETTERS:
-                pending += ch
-            else:
-                use_rule = True
-                break
-        if op == "+" and pending:
-            if ch.upper() == pending[0].upper():
-                model = model.replace(ch, pending[0])
-                pending = pending[1:]
-    return use_rule, model
+            queue.extend(text)
+        elif op == "+":
+            for ch in text:
+                if queue and queue[0].upper() == ch.upper():
+                    model = model.replace(ch, queue.popleft())
+    return False, model
 
 
 # ---------------------------------------------------------------------------

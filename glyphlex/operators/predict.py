@@ -7,6 +7,7 @@ predictor object is built once per Python worker from a picklable factory.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_text, remove_spaces
 from .substitute import demojize
 
-_PREDICTORS: dict[int, object] = {}
+_PREDICTORS: dict[str, object] = {}
 
 
 class DictionaryPredictor:
@@ -44,7 +45,7 @@ def predict_table(df: DataFrame, dictionary: DataFrame, predictor: Callable[[lis
     prepared = df.select(F.col(id_col).alias("id"), normalize_text(text_col).alias("_gl_t"))
     prepared = demojize(prepared, "_gl_t", dictionary, "_gl_d", row_id="id")
     prepared = prepared.select("id", remove_spaces("_gl_d").alias("source"))
-    key = id(factory) if factory is not None else None
+    key = uuid.uuid4().hex  # reused workers never answer with an earlier call's model
 
     def run(batches):
         if factory is not None:
@@ -58,9 +59,7 @@ def predict_table(df: DataFrame, dictionary: DataFrame, predictor: Callable[[lis
             preds: list[str] = []
             for i in range(0, len(texts), batch_size):
                 preds.extend(model(texts[i:i + batch_size]))
-            yield pd.DataFrame({"id": pdf["id"],
-                                "prediction": [p.replace(" ", "") if p is not None else None
-                                               for p in preds]})
+            yield pd.DataFrame({"id": pdf["id"], "prediction": preds})
 
     return prepared.mapInPandas(run, "id long, prediction string").select(
         "id", remove_spaces("prediction").alias("prediction"))

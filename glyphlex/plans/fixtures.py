@@ -23,8 +23,7 @@ INJECTIONS = [
 AMBIGUOUS_WORD = "咪"
 # candidate systems: (name, score, registration position)
 SYSTEMS = [("s0", 90, 0), ("s1", 80, 1), ("s2", 70, 2), ("s3", 60, 3)]
-MAX_SENTENCE = 180
-ROW_ID_STRIDE = 1_000_000
+ROW_ID_STRIDE = 1 << 32
 # ---------------------------------------------------------------------------
 
 SYMBOLS = [s for _, s, _ in INJECTIONS]
@@ -35,13 +34,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, pos, row_id, s): documents split on '.' and newline, 1..180 chars."""
+    """(doc_id, pos, row_id, s): whole documents split on '.' and newline; empty pieces left out."""
     # spread the documents, not the sentences: everything computed from the
     # generated sentences (injection, normalisation, symbol filters) sits above
     # the generator, so the optimizer cannot push it back into the scan task
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return (docs.select("doc_id", F.posexplode(F.split("text", r"[.\n]")).alias("pos", "s"))
-            .where(F.length("s").between(1, MAX_SENTENCE))
+            .where(F.length("s") > 0)
             .select("doc_id", F.col("pos").cast("long").alias("pos"),
                     (F.col("doc_id") * ROW_ID_STRIDE + F.col("pos")).alias("row_id"),
                     "s"))

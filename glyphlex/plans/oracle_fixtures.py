@@ -6,7 +6,7 @@ Built from the same fixed tables as the Spark fixtures so the two cannot drift.
 from __future__ import annotations
 
 from ..functions.symbols import FULL_SYMBOL_PATTERN, SYMBOL_PATTERN
-from .fixtures import AMBIGUOUS_WORD, INJECTIONS, MAX_SENTENCE, ROW_ID_STRIDE, SYSTEMS
+from .fixtures import AMBIGUOUS_WORD, INJECTIONS, ROW_ID_STRIDE, SYSTEMS
 
 PAT = SYMBOL_PATTERN
 FULL_PAT = FULL_SYMBOL_PATTERN
@@ -33,7 +33,7 @@ SENT = f"""sent AS (
   SELECT doc_id, CAST(pos AS BIGINT) AS pos, doc_id * {ROW_ID_STRIDE} + pos AS row_id, s
   FROM (SELECT doc_id, unnest(parts) AS s, unnest(range(0, len(parts))) AS pos
         FROM (SELECT doc_id, string_split_regex(text, '[.\\n]') AS parts FROM documents))
-  WHERE length(s) BETWEEN 1 AND {MAX_SENTENCE})"""
+  WHERE length(s) > 0)"""
 
 PAIRS = f"""pairs AS (
   SELECT doc_id, pos, row_id, {_inject('s', 1)} AS source_text, {_inject('s', 2)} AS target_text

@@ -46,7 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the cluster names no shared folder (local tests).
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="glyphlex-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
