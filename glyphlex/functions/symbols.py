@@ -12,31 +12,47 @@ from pyspark.sql import functions as F
 
 # --- fixed values: symbol grammar -------------------------------------------
 # flag pair, keycap, then base [variation selector] [skin tone] [tag sequence]
-# (joiner target [variation selector] [skin tone])*
+# (joiner base [variation selector] [skin tone])*; the ranges are those that the
+# Unicode emoji data publish, with the all-pictograph blocks taken whole
 FLAG = r"[\x{1F1E6}-\x{1F1FF}]{2}"
 KEYCAP = r"[0-9#*]\x{FE0F}?\x{20E3}"
 TONE = r"[\x{1F3FB}-\x{1F3FF}]"
-BASE = (r"[\x{1F000}-\x{1F1E5}\x{1F200}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}"
-        r"\x{2300}-\x{23FF}\x{2190}-\x{21FF}\x{00A9}\x{00AE}\x{203C}\x{2049}\x{2122}"
-        r"\x{2139}\x{3030}\x{303D}\x{3297}\x{3299}\x{24C2}\x{25AA}\x{25AB}\x{25B6}"
-        r"\x{25C0}\x{25FB}-\x{25FE}\x{2934}\x{2935}]")
-JOINED = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{2194}-\x{21FF}]"
+RANGES = (
+    "00A9 00AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 23CF 23E9-23F3 23F8-23FA "
+    "24C2 25AA-25AB 25B6 25C0 25FB-25FE 2600-2604 260E 2611 2614-2615 2618 261D 2620 2622-2623 "
+    "2626 262A 262E-262F 2638-263A 2640 2642 2648-2653 265F-2660 2663 2665-2666 2668 267B "
+    "267E-267F 2692-2697 2699 269B-269C 26A0-26A1 26A7 26AA-26AB 26B0-26B1 26BD-26BE 26C4-26C5 "
+    "26C8 26CE-26CF 26D1 26D3-26D4 26E9-26EA 26F0-26F5 26F7-26FA 26FD 2702 2705 2708-270D 270F "
+    "2712 2714 2716 271D 2721 2728 2733-2734 2744 2747 274C 274E 2753-2755 2757 2763-2764 "
+    "2795-2797 27A1 27B0 27BF 2934-2935 2B05-2B07 2B1B-2B1C 2B50 2B55 3030 303D 3297 3299 "
+    "1F004 1F0CF 1F170-1F171 1F17E-1F17F 1F18E 1F191-1F19A 1F201-1F202 1F21A 1F22F 1F232-1F23A "
+    "1F250-1F251 1F300-1F64F 1F680-1F6FF 1F7E0-1F7EB 1F7F0 1F900-1F9FF 1FA70-1FAFF")
 TAGS = r"[\x{E0020}-\x{E007F}]*"
 # ---------------------------------------------------------------------------
 
+BASE = "[" + "".join("-".join(r"\x{%s}" % end for end in part.split("-"))
+                     for part in RANGES.split()) + "]"
 SEQUENCE = (BASE + r"\x{FE0F}?" + TONE + "?" + TAGS
-            + r"(?:\x{200D}" + JOINED + r"\x{FE0F}?" + TONE + "?)*")
+            + r"(?:\x{200D}" + BASE + r"\x{FE0F}?" + TONE + "?)*")
 SYMBOL_PATTERN = "(?:" + FLAG + "|" + KEYCAP + "|" + SEQUENCE + ")"
 FULL_SYMBOL_PATTERN = "^" + SYMBOL_PATTERN + "$"
+#: What no symbol holds; such runs are cut out first, so the long class of the
+#: grammar is tried on few characters.
+PLAIN_RUN = (r"[^0-9#*\x{A9}\x{AE}\x{200D}-\x{3299}\x{FE0F}\x{1F000}-\x{1FAFF}"
+             r"\x{E0020}-\x{E007F}]+")
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _short(text) -> Column:
+    return F.regexp_replace(_col(text), PLAIN_RUN, " ")
+
+
 def extract_symbols(text) -> Column:
     """Every symbol, left to right, longest sequence, repeats kept."""
-    return F.regexp_extract_all(_col(text), F.lit(SYMBOL_PATTERN), 0)
+    return F.regexp_extract_all(_short(text), F.lit(SYMBOL_PATTERN), 0)
 
 
 def symbol_count(text) -> Column:
@@ -56,4 +72,4 @@ def is_symbol(text) -> Column:
 
 def has_symbol(text) -> Column:
     """At least one symbol occurs."""
-    return _col(text).rlike(SYMBOL_PATTERN)
+    return _short(text).rlike(SYMBOL_PATTERN)

@@ -1,24 +1,27 @@
 """Training-table jobs.
 
-All of it is narrow projection, filters and aggregations; the only shuffles
-are the duplicate removal (a ``groupBy`` on the pair, partially aggregated) and
-the dense index of the split.
+All of it is narrow projection, filters and aggregations; the only shuffle of texts
+is the duplicate removal (a ``groupBy`` on the pair, partially aggregated).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.symbols import symbol_count
 from ..functions.text import add_prefix, chars, normalize_text, remove_spaces
-from .ranking import dense_index
 
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 LABEL_PAD = -100
+#: Rows of the split's border bucket that the driver sorts.
+BUCKET = 10_000
+#: First private code point that stands for a token id, how many there are, and a code
+#: point that is no character.
+PRIVATE, PRIVATE_MAX, NO_CHARACTER = 0xF0000, 60_000, "\uffff"
 
 
 def prepare_pairs(raw: DataFrame, prefix: str = "", do_filter: bool = True,
@@ -60,20 +63,49 @@ def drop_duplicate_pairs(df: DataFrame, cols: Sequence[str] = ("source_text", "t
     return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(row_id, *cols)
 
 
+def _split_mark(keyed: DataFrame, n_valid: int, row_id: str) -> tuple[str, int] | None:
+    """The (key, row_id) of the last of the ``n_valid`` smallest rows.
+
+    Rows are counted by key prefix, three more hex digits a pass, until the prefix that
+    holds the mark has few rows; the driver sees at most 4,096 counts or BUCKET rows."""
+    prefix, left = "", n_valid
+    while True:
+        inside = keyed.where(F.col("_gl_key").startswith(prefix)) if prefix else keyed
+        counts = sorted((r.p, r.n) for r in inside.groupBy(
+            F.substring("_gl_key", 1, len(prefix) + 3).alias("p"))
+            .agg(F.count(F.lit(1)).alias("n")).collect())
+        for prefix, n in counts:
+            if n >= left:
+                break
+            left -= n
+        if n <= BUCKET:
+            rows = sorted(tuple(r) for r in keyed.where(F.col("_gl_key").startswith(prefix))
+                          .select("_gl_key", row_id).collect())
+            return rows[left - 1]
+        if len(prefix) >= 30:
+            raise ValueError(f"{row_id} does not tell the rows apart")
+
+
 def train_valid_split(df: DataFrame, fraction: float = 0.1, seed: int = 42,
                       row_id: str = "row_id", train_on_all: bool = False) -> DataFrame:
     """Add ``split`` ('train'/'valid').
 
     Rows are ordered by ``md5(seed || row_id)``; the first ``ceil(fraction * n)``
-    are validation.  With ``train_on_all`` validation rows are also emitted as
-    train (the reference's default trains on everything).
+    are validation (``row_id`` tells rows apart).  They are found by comparison with
+    the last of them: no sort and no copy of the table.  With ``train_on_all``
+    validation rows are also emitted as train (the reference's default trains on
+    everything).
     """
     n = df.count()
     n_valid = math.ceil(fraction * n)  # the split library's rule, float product included
     key = F.md5(F.concat(F.lit(str(seed)), F.col(row_id).cast("string")))
-    idx = dense_index(df.withColumn("_gl_key", key), ["_gl_key", row_id], "_gl_i")
-    labelled = idx.withColumn("split", F.when(F.col("_gl_i") < n_valid, "valid")
-                              .otherwise("train")).drop("_gl_key", "_gl_i")
+    keyed = df.withColumn("_gl_key", key)
+    if n_valid == 0:
+        valid = F.lit(False)
+    else:
+        mark, mark_id = _split_mark(keyed.select("_gl_key", row_id), n_valid, row_id)
+        valid = (F.col("_gl_key") < mark) | ((F.col("_gl_key") == mark) & (F.col(row_id) <= mark_id))
+    labelled = keyed.withColumn("split", F.when(valid, "valid").otherwise("train")).drop("_gl_key")
     if train_on_all:
         extra = labelled.where(F.col("split") == "valid").withColumn("split", F.lit("train"))
         labelled = labelled.unionByName(extra)
@@ -88,21 +120,20 @@ def split_overlap(labelled: DataFrame, row_id: str = "row_id") -> DataFrame:
 
 
 def length_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column: count, mean, sample std, min, quartiles, 95 %, max of lengths."""
-    parts = None
-    for c in cols:
-        p = df.select(F.length(c).alias("len")).agg(
-            F.count("len").cast("long").alias("n"),
-            F.avg("len").alias("mean"),
-            F.stddev_samp("len").alias("std"),
-            F.min("len").cast("double").alias("min"),
-            F.percentile(F.col("len").cast("double"), [0.25, 0.5, 0.75, 0.95]).alias("q"),
-            F.max("len").cast("double").alias("max"))
-        p = p.select(F.lit(c).alias("column"), "n", "mean", "std", "min",
-                     F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                     F.col("q")[2].alias("p75"), F.col("q")[3].alias("p95"), "max")
-        parts = p if parts is None else parts.unionByName(p)
-    return parts
+    """Per column: count, mean, sample std, min, quartiles, 95 %, max of lengths,
+    all columns in one aggregation."""
+    def profile(c):
+        n = F.length(c)
+        return F.struct(
+            F.lit(c).alias("column"), F.count(n).cast("long").alias("n"), F.avg(n).alias("mean"),
+            F.stddev_samp(n).alias("std"), F.min(n).cast("double").alias("min"),
+            F.percentile(n.cast("double"), [0.25, 0.5, 0.75, 0.95]).alias("q"),
+            F.max(n).cast("double").alias("max"))
+    return (df.agg(F.array(*[profile(c) for c in cols]).alias("a"))
+            .select(F.explode("a").alias("p")).select("p.*")
+            .select("column", "n", "mean", "std", "min",
+                    *[F.col("q")[i].alias(q) for i, q in enumerate(("p25", "p50", "p75", "p95"))],
+                    "max"))
 
 
 def head(df: DataFrame, n: int = 5, row_id: str = "row_id", tail: bool = False) -> DataFrame:
@@ -111,9 +142,50 @@ def head(df: DataFrame, n: int = 5, row_id: str = "row_id", tail: bool = False)
     return df.orderBy(order).limit(n)
 
 
-def preview_sample(df: DataFrame, fraction: float = 0.1, seed: int = 0) -> DataFrame:
-    """A random preview (a sampling operator)."""
-    return df.sample(fraction=fraction, seed=seed)
+def preview_sample(df: DataFrame, fraction: float = 0.1, seed: int = 0,
+                   row_id: str = "row_id") -> DataFrame:
+    """A preview of about ``fraction`` of the rows (a sampling operator), chosen by
+    the digest of seed and row_id, so it does not depend on the partitioning."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
+    return df.where(F.substring(digest, 1, 8) < f"{min(int(fraction * 2**32), 2**32 - 1):08x}")
+
+
+def rename(df: DataFrame, names: Mapping[str, str] | Sequence[str]) -> DataFrame:
+    """New column names, by name (a mapping) or by position (all of them)."""
+    return df.withColumnsRenamed(dict(names)) if isinstance(names, Mapping) else df.toDF(*names)
+
+
+def _character_ids(vocab: DataFrame):
+    """text -> array of token ids, without a join: ``translate`` (a hash lookup) turns
+    each known character into the private character of its id.  None if the vocabulary
+    does not fit that."""
+    known = (vocab.where(F.length("token") == 1).select("token", "token_id")
+             .limit(PRIVATE_MAX + 1).collect())
+    if len(known) > PRIVATE_MAX or any(
+            ord(r.token) >= PRIVATE or r.token == NO_CHARACTER
+            or not 0 <= r.token_id <= PRIVATE_MAX for r in known):
+        return None
+    tokens = "".join(r.token for r in known)
+    places = "".join(chr(PRIVATE + r.token_id) for r in known)
+
+    def ids(text):
+        own = F.regexp_replace(text, r"[\x{F0000}-\x{10FFFF}]", NO_CHARACTER)
+        return F.transform(chars(F.translate(own, tokens, places)), lambda c: F.when(
+            F.ascii(c) >= PRIVATE, F.ascii(c) - PRIVATE).otherwise(UNK_ID).cast("long"))
+    return ids
+
+
+def _joined_ids(df: DataFrame, text: str, vocab: DataFrame, out: str, row_id: str,
+                keep: int) -> DataFrame:
+    """Token ids by a join.  Broadcast: one-character tokens, of which Unicode has at
+    most 1,114,112, about 20 MB."""
+    occ = df.select(F.col(row_id).alias("_gl_r"),
+                    F.posexplode(chars(F.substring(text, 1, keep))).alias("p", "token"))
+    table = F.broadcast(vocab.where(F.length("token") == 1).select("token", "token_id"))
+    ids = (occ.join(table, "token", "left").groupBy("_gl_r")
+           .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce(
+               "token_id", F.lit(UNK_ID)).cast("long").alias("i"))))["i"].alias(out)))
+    return df.join(ids, F.col(row_id) == F.col("_gl_r"), "left").drop("_gl_r")
 
 
 def encode(df: DataFrame, text_col: str, vocab: DataFrame, max_len: int, out: str,
@@ -121,25 +193,34 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, max_len: int, out: st
     """K3: character ids ``[CLS] chars [SEP]`` truncated/padded to ``max_len``,
     plus an attention mask; with ``labels`` the padding id becomes -100.
 
-    The vocabulary is joined (Spark picks broadcast or shuffle from its size).
+    The text is cut to what is encoded first; ids come from an inline table (no
+    shuffle).  A null text counts as empty.
     """
-    occ = df.select(F.col(row_id).alias("_gl_r"), F.posexplode(chars(text_col)).alias("p", "token"))
-    ids = (occ.join(vocab.select("token", "token_id"), "token", "left")
-           .groupBy("_gl_r")
-           .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce(
-               "token_id", F.lit(UNK_ID)).alias("i")))).alias("_gl_ids")))
-    joined = df.join(ids, F.col(row_id) == F.col("_gl_r"), "left")
-    body = F.transform(F.coalesce(F.col("_gl_ids"), F.array().cast(
-        "array<struct<p:int,i:long>>")), lambda x: x["i"])
-    body = F.slice(body, 1, max_len - 2)
+    keep = max_len - 2
+    ids = _character_ids(vocab)
+    if ids is not None:
+        coded = df.withColumn("_gl_ids", ids(F.substring(text_col, 1, keep)))
+    else:
+        coded = _joined_ids(df, text_col, vocab, "_gl_ids", row_id, keep)
+    body = F.coalesce("_gl_ids", F.array().cast("array<bigint>"))
     seq = F.concat(F.array(F.lit(CLS_ID).cast("long")), body, F.array(F.lit(SEP_ID).cast("long")))
     pad_n = F.lit(max_len) - F.size(seq)
     pad_id = LABEL_PAD if labels else PAD_ID
     padded = F.concat(seq, F.array_repeat(F.lit(pad_id).cast("long"), pad_n))
     mask = F.concat(F.array_repeat(F.lit(1).cast("long"), F.size(seq)),
                     F.array_repeat(F.lit(0).cast("long"), pad_n))
-    return (joined.withColumn(out, padded).withColumn(out + "_mask", mask)
-            .drop("_gl_r", "_gl_ids"))
+    return coded.withColumn(out, padded).withColumn(out + "_mask", mask).drop("_gl_ids")
+
+
+def encode_pairs(pairs: DataFrame, vocab: DataFrame, max_source: int = 50, max_target: int = 50,
+                 row_id: str = "row_id") -> DataFrame:
+    """K3 over training pairs: (row_id, source_ids, source_mask, labels, target_mask);
+    the labels are the target's ids with -100 in the padding."""
+    both = encode(pairs, "source_text", vocab, max_source, "_gl_s", row_id)
+    both = encode(both, "target_text", vocab, max_target, "_gl_t", row_id, labels=True)
+    return both.select(row_id, F.col("_gl_s").alias("source_ids"),
+                       F.col("_gl_s_mask").alias("source_mask"), F.col("_gl_t").alias("labels"),
+                       F.col("_gl_t_mask").alias("target_mask"))
 
 
 def truncation_report(df: DataFrame, cols: Sequence[str], max_len: int, epochs: int = 10,

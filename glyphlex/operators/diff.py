@@ -233,7 +233,8 @@ def diff_table(df: DataFrame, a: str, b: str, row_id: str = "row_id") -> DataFra
 
 def decide(df: DataFrame, raw_clean: str, model_clean: str, model: str,
            keep: list[str]) -> DataFrame:
-    """Append (use_rule boolean, repaired string) computed by the E21 walk."""
+    """Append (use_rule boolean, repaired string) computed by the E21 walk; where both
+    cleaned texts are null there is nothing to walk."""
     cols = list(keep) + [raw_clean, model_clean, model]
     work = df.select(*[F.col(c) for c in dict.fromkeys(cols)])
     schema = StructType(list(work.schema.fields) + [StructField("use_rule", BooleanType()),
@@ -244,6 +245,10 @@ def decide(df: DataFrame, raw_clean: str, model_clean: str, model: str,
             use, rep = [], []
             for x, y, m in zip(pdf[raw_clean].tolist(), pdf[model_clean].tolist(),
                                pdf[model].tolist()):
+                if x is None and y is None:  # nothing to decide
+                    use.append(False)
+                    rep.append(m)
+                    continue
                 u, r = reconcile_decision(x or "", y or "", m or "")
                 use.append(u)
                 rep.append(r if m is not None else None)

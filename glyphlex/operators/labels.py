@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import alias_list, first_usable_alias, speech_label
 from ..functions.symbols import is_symbol
+from ..sources.io import slice_annotations
 from .dictionaries import merge
 from .ranking import dense_index
 
@@ -56,11 +57,8 @@ def first_alias_labels(annotations: DataFrame, lo: int | None = None,
                        hi: int | None = None, trim: bool = False) -> DataFrame:
     """Rules-B label map: optional positional slice (A4), first usable alias per
     annotation (E19), later annotations of the same symbol win (F5)."""
-    rows = _ranked(annotations)
-    if lo is not None:
-        rows = rows.where(F.col("rank") >= lo)
-    if hi is not None:
-        rows = rows.where(F.col("rank") < hi)
+    rows = _ranked(annotations if lo is None and hi is None else
+                   slice_annotations(annotations, lo, hi))
     picked = rows.select(F.col("cp").alias("key"), first_usable_alias("text", trim).alias("value"),
                          "rank").where(F.col("value").isNotNull())
     return merge([picked], policy="last")

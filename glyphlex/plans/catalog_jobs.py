@@ -196,7 +196,9 @@ def q_i4_tail(spark, sf):
     return dataset.head(p, 5, tail=True)
 
 
-@register("i5_preview_sample", None)
+@register("i5_preview_sample", with_fixtures(["PAIRS"], body="""
+SELECT row_id, source_text FROM pairs
+WHERE substr(md5('7:' || CAST(row_id AS VARCHAR)), 1, 8) < '19999999'"""))
 def q_i5(spark, sf):
     return dataset.preview_sample(fx.pairs(spark, sf).select("row_id", "source_text"), 0.1, 7)
 
@@ -664,7 +666,8 @@ SELECT key, value, rank FROM common"""))
 def q_p6(spark, sf):
     """Annotation round trip: the mined lexicon is written as an annotation XML
     document (one ``tts`` and one alias element per symbol, in rank order) by
-    Spark's XML writer, read back (A3) and turned into speech labels (P6)."""
+    Spark's XML writer, read back (A3) and turned into speech labels (P6).  The
+    words are written as ``旗: WORD手势: 较浅肤色``, which the label rules undo."""
     from ..operators import labels as lj
     from ..session import scratch_path
     from ..sources import io
@@ -672,7 +675,8 @@ def q_p6(spark, sf):
     rows = common.select(
         "rank", F.explode(F.array(
             F.struct(F.col("key").alias("_cp"), F.lit("tts").alias("_type"),
-                     F.col("value").alias("_VALUE"), F.lit(1).alias("k")),
+                     F.format_string("旗: %s手势: 较浅肤色", "value").alias("_VALUE"),
+                     F.lit(1).alias("k")),
             F.struct(F.col("key").alias("_cp"), F.lit(None).cast("string").alias("_type"),
                      F.concat_ws(" | ", "value", "value").alias("_VALUE"), F.lit(0).alias("k"))))
         .alias("a"))

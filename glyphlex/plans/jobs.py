@@ -51,7 +51,8 @@ def rule_baseline(train: DataFrame, test: DataFrame, annotations: DataFrame | No
     predictions = predictions.select("id", "prediction", "has_ambiguous")
     counters = predictions.agg(F.count(F.lit(1)).alias("n_rows"),
                                F.count_if("has_ambiguous").alias("n_with_ambiguous"))
-    return {"common": lex["common"], "ambiguous": lex["ambiguous"], "lexicon": refined,
+    return {"common": lex["common"], "reconcile_keys": reconcile.reconcile_keys(refined, oov),
+            "ambiguous": lex["ambiguous"], "lexicon": refined,
             "oov": oov, "dictionary": dictionary, "predictions": predictions,
             "counters": counters}
 
@@ -77,7 +78,8 @@ def post_process(test: DataFrame, rule_predictions: DataFrame, models: DataFrame
                  systems: Sequence[tuple[str, int, int]] | None = None) -> dict[str, DataFrame]:
     """Entry 3: E5 on every system, P12 reconcile, P13 vote over the widened
     outputs, P14 pseudo-labels, P15 pseudo pairs."""
-    widened = (models.join(test.select("id", F.col("text").alias("_gl_raw")), "id", "inner")
+    widened = (reconcile.with_text(models, test.select("id", F.col("text").alias("_gl_raw")),
+                                   "_gl_raw")
                .withColumn("prediction", align_punct("_gl_raw", "prediction"))
                .drop("_gl_raw"))
     reconciled = reconcile.reconcile_many(models, test, rule_predictions, symbol_keys)

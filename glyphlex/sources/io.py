@@ -28,19 +28,20 @@ PAIR_SCHEMA = "row_id long, raw_text string, source_text string, target_text str
 JSON_EXPORT_MAX_ENTRIES = 5_000_000
 
 
-def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """A1: tab-separated text with a header and a fixed schema.
 
+    A file whose texts may hold line breaks is read by one task; ``multi_line=False``
+    splits large files.  Keep large tables as parquet.
+
     Unlike pandas, the literal strings ``NA`` / ``null`` / ``nan`` stay text (this
     is text data); only an empty field reads back as null."""
-    return spark.read.schema(schema).options(**TSV_OPTIONS).csv(path)
+    return (spark.read.schema(schema).options(**TSV_OPTIONS)
+            .option("multiLine", str(multi_line).lower()).csv(path))
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", file_prefix: str | None = None
-              ) -> None:
-    """B1: header, no index; ``file_prefix`` is accepted for API symmetry (Spark
-    names the part files itself; use the directory name to carry metadata)."""
-    del file_prefix
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """B1: header, no index; the folder's name can carry metadata."""
     df.write.mode(mode).options(**TSV_OPTIONS).csv(path)
 
 
@@ -56,21 +57,21 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
 
     ``doc_pos`` orders rows in document order within a file (partitions of one
     file cover increasing offsets)."""
-    raw = (spark.read.format("xml").option("rowTag", "annotation")
-           .option("valueTag", "_VALUE").load(path))
-    cols = raw.columns
-    type_col = F.col("_type") if "_type" in cols else F.lit(None).cast("string")
+    raw = (spark.read.format("xml").schema("_cp string, _type string, _VALUE string")
+           .option("rowTag", "annotation").option("valueTag", "_VALUE").load(path))
     return raw.select(F.col("_metadata.file_path").alias("file"),
                       F.monotonically_increasing_id().alias("doc_pos"),
-                      F.col("_cp").cast("string").alias("cp"),
-                      type_col.alias("type"),
-                      F.col("_VALUE").cast("string").alias("text"))
+                      F.col("_cp").alias("cp"), F.col("_type").alias("type"),
+                      F.col("_VALUE").alias("text"))
 
 
 def slice_annotations(annotations: DataFrame, lo: int | None = None,
                       hi: int | None = None) -> DataFrame:
-    """A4: half-open positional slice ``[lo, hi)`` in document order."""
+    """A4: half-open positional slice ``[lo, hi)`` in document order, counted anew in
+    each file; adds ``pos``."""
     idx = dense_index(annotations, ["file", "doc_pos"], "pos")
+    starts = idx.groupBy("file").agg(F.min("pos").alias("_gl_first"))
+    idx = idx.join(starts, "file").withColumn("pos", F.col("pos") - F.col("_gl_first")).drop("_gl_first")
     if lo is not None:
         idx = idx.where(F.col("pos") >= lo)
     if hi is not None:

@@ -29,7 +29,7 @@ def test_training_table_and_feedback(spark):
     assert prof["source_text"] == table.count()
     test = fx.test_table(spark, SF)
     rule = jobs.rule_baseline(train, test)["predictions"].select("id", "prediction")
-    keys = D.symbol_keys(jobs.rule_baseline(train, test)["common"])
+    keys = jobs.rule_baseline(train, test)["reconcile_keys"]
     post = jobs.post_process(test, rule, fx.candidates(spark, SF), keys)
     assert post["voted"].count() == test.count()
     assert {r.system for r in post["counters"].collect()} == {"s0", "s1", "s2", "s3"}

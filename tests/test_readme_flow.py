@@ -38,7 +38,7 @@ def test_readme_flow(spark, scratch, tmp_path):
     training = jobs.training_table(train)
     models = io.read_candidates(spark, systems)
     post = jobs.post_process(test, rule["predictions"].select("id", "prediction"), models,
-                             D.symbol_keys(rule["common"]))
+                             rule["reconcile_keys"])
     io.write_partitioned(post["pseudo_labels"], f"{base}/pseudo", "min_votes")
     more = jobs.feed_back(post["pseudo_labels"], test, training["table"], training["dictionary"])
 
