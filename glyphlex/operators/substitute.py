@@ -157,6 +157,10 @@ def apply_fold(df: DataFrame, text_col: str, dictionary: DataFrame, out_col: str
             raise ValueError(f"dictionary exceeds {NATIVE_MAX_KEYS} entries for the native path")
         dictionary = materialize(dictionary, "fold-dictionary")
         path = choose_path(dictionary)
+    elif path == "arrow":
+        dictionary = materialize(dictionary, "fold-dictionary")
+        if choose_path(dictionary) == "chunked":
+            path = "chunked"
     if path == "arrow":
         entries = collect_entries(dictionary)
         return df.withColumn(out_col, _arrow_fold_column(F.col(text_col), entries, spark))
@@ -189,12 +193,14 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
     sides of the join see the same ids).  Otherwise the Arrow automaton.
     """
     keyset = keys.select(F.col("key")).where(F.col("key").isNotNull() & (F.col("key") != ""))
+    few = keyset.limit(NATIVE_MAX_KEYS + 1).collect()
+    if len(few) <= NATIVE_MAX_KEYS:
+        return df.withColumn(out_col, fs.contains_any(text_col, [r["key"] for r in few]))
+    keyset = materialize(keyset.distinct(), "flag-keys")
     stats = keyset.agg(F.count(F.lit(1)).alias("n"),
-                       F.coalesce(F.min(is_symbol("key").cast("int")), F.lit(1)).alias("all_sym")
-                       ).first()
-    if stats["n"] <= NATIVE_MAX_KEYS:
-        ks = [r["key"] for r in keyset.collect()]
-        return df.withColumn(out_col, fs.contains_any(text_col, ks))
+                       F.sum(F.octet_length("key")).alias("bytes"),
+                       F.max(F.octet_length("key")).alias("longest"),
+                       F.min(is_symbol("key").cast("int")).alias("all_sym")).first()
     if stats["all_sym"] == 1:
         if row_id is not None and row_id in df.columns:
             rid, tagged = row_id, df
@@ -204,24 +210,25 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
                                  "flag-rows")
         hits = (tagged.select(rid, F.explode(F.array_distinct(extract_symbols(text_col)))
                               .alias("key"))
-                .join(keyset.distinct(), "key", "left_semi").select(rid).distinct()
+                .join(keyset, "key", "left_semi").select(rid).distinct()
                 .withColumn(out_col, F.lit(True)))
         out = (tagged.join(hits, rid, "left")
                .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(False))))
         return out if rid == row_id else out.drop(rid)
     spark = df.sparkSession
-    if stats["n"] <= COLLECT_MAX_ROWS:
+    if stats["n"] <= COLLECT_MAX_ROWS and stats["bytes"] <= BROADCAST_MAX_BYTES:
         entries = [(k, "") for k, _v in collect_entries(
             keyset.withColumn("value", F.lit("")).withColumn("rank", F.lit(0)))]
         return df.withColumn(out_col, _arrow_fold_column(F.col(text_col), entries, spark,
                                                          any_only=True))
-    # beyond the collect bound: OR the flags of bounded chunks of the key set
+    # beyond these bounds: OR the flags of chunks of the key set that keep both
     from .ranking import dense_index
-    ranked = dense_index(keyset.distinct(), ["key"], "_gl_r")
-    n_chunks = (int(stats["n"]) + COLLECT_MAX_ROWS - 1) // COLLECT_MAX_ROWS
+    ranked = dense_index(keyset, ["key"], "_gl_r")
+    per_chunk = max(1, min(COLLECT_MAX_ROWS, BROADCAST_MAX_BYTES // int(stats["longest"])))
+    n_chunks = (int(stats["n"]) + per_chunk - 1) // per_chunk
     out = df.withColumn(out_col, F.lit(False))
     for c in range(n_chunks):
-        part = ranked.where((F.col("_gl_r") / COLLECT_MAX_ROWS).cast("long") == c)
+        part = ranked.where((F.col("_gl_r") >= c * per_chunk) & (F.col("_gl_r") < (c + 1) * per_chunk))
         entries = [(r["key"], "") for r in part.select("key").collect()]
         hit = _arrow_fold_column(F.col(text_col), entries, spark, any_only=True)
         out = out.withColumn(out_col, F.col(out_col) | hit).checkpoint(eager=True)

@@ -34,13 +34,12 @@ def register(name: str, sql: str | None):
 @register("e6_extract_symbols", with_fixtures(["PAIRS"], body=f"""
 SELECT doc_id, pos, array_to_string(regexp_extract_all(source_text, {q(PAT)}, 0), '|') AS symbols,
        CAST(len(regexp_extract_all(source_text, {q(PAT)}, 0)) AS BIGINT) AS n_symbols
-FROM pairs WHERE len(regexp_extract_all(source_text, {q(PAT)}, 0)) > 0"""))
+FROM pairs"""))
 def q_e6(spark, sf):
     from ..functions.symbols import extract_symbols
     p = fx.pairs(spark, sf).select("doc_id", "pos", extract_symbols("source_text").alias("a"))
-    return (p.where(F.size("a") > 0)
-            .select("doc_id", "pos", F.array_join("a", "|").alias("symbols"),
-                    F.size("a").cast("long").alias("n_symbols")))
+    return p.select("doc_id", "pos", F.array_join("a", "|").alias("symbols"),
+                    F.size("a").cast("long").alias("n_symbols"))
 
 
 @register("g1_symbol_frequency", with_fixtures(["PAIRS"], body=f"""
@@ -193,8 +192,8 @@ UNION ALL SELECT 'n_ambiguous', CAST(count(DISTINCT key) AS BIGINT) FROM (
                           count(*) OVER (PARTITION BY key) AS nk FROM mined_amb)
   WHERE tp <= 3 AND nk > 1 AND cnt > 2)"""))
 def q_g11(spark, sf):
-    counts = mining.pair_counts(mining.mined_pairs(fx.pairs(spark, sf, ambiguous=True)))
-    return mining.mining_summary(counts, mining.common_map(counts), mining.ambiguous_map(counts))
+    lex = mining.mine_lexicon(fx.pairs(spark, sf, ambiguous=True))
+    return mining.mining_summary(lex["counts"], lex["common"], lex["ambiguous"])
 
 
 @register("p3_mine_unique", None)
@@ -306,33 +305,34 @@ _DEMOJI_SQL = with_fixtures(["PAIRS"], _occ_cte(), INJ_CTE, MINED_CTE, COMMON_CT
 SELECT doc_id, pos, list_reduce(regexp_extract_all(source_text, {q(PAT)}, 0),
          lambda acc, e: replace(acc, e, coalesce(m[e], {q(UNKNOWN)})),
          source_text) AS demojized
-FROM pairs, dmap WHERE len(regexp_extract_all(source_text, {q(PAT)}, 0)) > 0""")
+FROM pairs, dmap""")
 
 
 @register("e8_demojize", _DEMOJI_SQL)
 def q_e8(spark, sf):
     common = _lexicon(spark, sf)["common"]
     d = dicts.merge([common, dicts.from_mapping(spark, dicts.CUSTOM_SYMBOLS)], policy="last")
-    p = fx.pairs(spark, sf).where(F.size(F.regexp_extract_all("source_text", F.lit(PAT), 0)) > 0)
+    p = fx.pairs(spark, sf)
     return subst.demojize(p, "source_text", d, "demojized").select("doc_id", "pos", "demojized")
 
 
-@register("f4_demojize_join", _DEMOJI_SQL.replace("AS demojized", "AS demojized"))
+@register("f4_demojize_join", _DEMOJI_SQL)
 def q_f4(spark, sf):
     common = _lexicon(spark, sf)["common"]
     d = dicts.merge([common, dicts.from_mapping(spark, dicts.CUSTOM_SYMBOLS)], policy="last")
-    p = fx.pairs(spark, sf).where(F.size(F.regexp_extract_all("source_text", F.lit(PAT), 0)) > 0)
+    p = fx.pairs(spark, sf)
     return subst.demojize(p, "source_text", d, "demojized", path="join").select(
         "doc_id", "pos", "demojized")
 
 
 @register("f9_oov_symbols", with_fixtures(["PAIRS"], _occ_cte(), INJ_CTE, MINED_CTE, COMMON_CTE,
-                                          body="""
-SELECT symbol, count(*) AS cnt FROM occ
+                                          body=f"""
+SELECT symbol, count(*) AS cnt
+FROM (SELECT unnest(regexp_extract_all(source_text, {q(PAT)}, 0)) AS symbol FROM pairs)
 WHERE symbol NOT IN (SELECT key FROM common WHERE key <> '🏃') GROUP BY symbol"""))
 def q_f9(spark, sf):
     common = _lexicon(spark, sf)["common"].where(F.col("key") != "🏃")
-    p = fx.pairs(spark, sf).where(F.col("source_text") != F.col("target_text"))
+    p = fx.pairs(spark, sf)
     return subst.oov_symbols(p, "source_text", common)
 
 

@@ -14,8 +14,15 @@ from .catalog import (COMMON_CTE, CUSTOM_CTE, INJ_CTE, MINED_CTE, PREDICT_DICT_C
                       _lexicon, _occ_cte, register, rule_dictionary)
 from .oracle_fixtures import PAT, q, with_fixtures
 
-HALF_P, FULL_P = tx.width_table(False, False, False, True)
-HALF_A, FULL_A = tx.width_table(True, True, True, True)
+# --- fixed values: the oracle's own width and punctuation tables -------------
+HALF_P = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
+FULL_P = "！＂＃＄％＆＇（）＊＋，－．／：；＜＝＞？＠［＼］＾＿｀｛｜｝～"
+HALF_A = HALF_P + "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+FULL_A = (FULL_P + "０１２３４５６７８９ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ"
+          "ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ")
+WIDEN = [(",", "，"), ("...", "…"), ("!", "！"), ("?", "？"), ("(", "（"), (")", "）"), ("#", "＃"),
+         (".", "。"), (":", "："), (";", "；")]
+# -----------------------------------------------------------------------------
 NOT_CJK = "[^\\x{4E00}-\\x{9FA5}]+"
 NOT_CJK_ALNUM = "[^\\x{4E00}-\\x{9FA5}a-zA-Z0-9]+"
 
@@ -26,7 +33,7 @@ def _sql_normalize(expr: str) -> str:
 
 def _sql_align(raw: str, pred: str) -> str:
     out = pred
-    for narrow, wide in tx.PUNCT_WIDEN:
+    for narrow, wide in WIDEN:
         out = (f"replace({out}, {q(narrow)}, CASE WHEN contains({raw}, {q(wide)}) "
                f"THEN {q(wide)} ELSE {q(narrow)} END)")
     return f"replace({out}, ' ', '')"
@@ -302,8 +309,7 @@ def q_g8(spark, sf):
 SELECT id, p1, c1, p2, c2 FROM top"""))
 def q_h4(spark, sf):
     c = fx.candidates(spark, sf)
-    return vote.top_two(vote.answer_counts(c, vote.fallback_position(
-        c, systems=fx.SYSTEMS))).select(
+    return vote.top_two(c, vote.fallback_position(c, systems=fx.SYSTEMS)).select(
         "id", "p1", "c1", "p2", "c2")
 
 
@@ -311,9 +317,8 @@ def q_h4(spark, sf):
 SELECT id, string_agg(prediction, '|' ORDER BY sys_pos) AS answers FROM cand GROUP BY id"""))
 def q_f2(spark, sf):
     c = fx.candidates(spark, sf)
-    return c.groupBy("id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("sys_pos", "prediction"))),
-        lambda x: x["prediction"]), "|").alias("answers"))
+    return vote.aligned_answers(c).select("id", F.array_join(F.transform(
+        "answers", lambda x: x["prediction"]), "|").alias("answers"))
 
 
 _P14_BODY = """SELECT id, top_prediction AS prediction, CAST(k AS BIGINT) AS min_votes
@@ -485,8 +490,7 @@ SELECT EXISTS (SELECT 1 FROM amb WHERE contains(p.source_text, amb.key)) AS has_
 FROM pairs_amb p GROUP BY 1"""))
 def q_e12(spark, sf):
     p = fx.pairs(spark, sf, ambiguous=True)
-    counts = mining.pair_counts(mining.mined_pairs(p))
-    keys = mining.ambiguous_map(counts).select("key").distinct()
+    keys = mining.mine_lexicon(p)["ambiguous"].select("key").distinct()
     flagged = subst.contains_any_key(p, "source_text", keys, "has_ambiguous", row_id="row_id")
     return flagged.groupBy("has_ambiguous").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -507,9 +511,9 @@ def q_f8(spark, sf):
 SELECT doc_id, pos, list_reduce((SELECT list(key ORDER BY rank) FROM common
                                  WHERE regexp_full_match(key, '""" + PAT.replace("'", "''") + """')),
                                 lambda acc, k: replace(acc, k, ''), source_text) AS stripped
-FROM pairs WHERE source_text <> target_text"""))
+FROM pairs"""))
 def q_e13(spark, sf):
-    p = fx.pairs(spark, sf).where(F.col("source_text") != F.col("target_text"))
+    p = fx.pairs(spark, sf)
     keys = _symbol_keys(spark, sf)
     return subst.delete_keys(p, "source_text", keys, "stripped").select("doc_id", "pos", "stripped")
 
