@@ -9,6 +9,10 @@ others.  A token is two digits (a, b); the network gives P(a | context) and
 P(b | a, context), so a full distribution costs two short softmaxes.  Every text
 is read once in training: in each round the tasks train on their own share of
 the texts, starting from the same weights, and Spark averages what they learnt.
+
+The probability of a rare word is that of its bucket times P(word | bucket), from
+the counts of all words of the corpus.  The counts are a Spark table that grows
+with the corpus; it is joined by word digest and never held by one process.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +36,8 @@ VOCABULARY = DIGIT * DIGIT
 FREQUENT = VOCABULARY - BUCKETS - 1  # token 0 stands beyond the ends of a text
 #: Rounds (the texts are dealt to them by digest), tokens of a step, and step size.
 ROUNDS, BATCH, RATE = 2, 8192, 0.01
+#: Text bytes of a block of texts whose distinct rare words are looked up at once.
+LOOKUP_BYTES = 4 << 20
 SHAPES = {"e": (2 * REACH, VOCABULARY, WIDTH), "c": (WIDTH,), "wa": (WIDTH, DIGIT), "ba": (DIGIT,),
           "wb": (WIDTH, DIGIT), "bb": (DIGIT, DIGIT)}
 _OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
@@ -130,11 +138,16 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Sorted digests and ranks of the most frequent words of all texts."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): digest and number of every word of all texts, written once."""
+    prepare(docs.sparkSession)
     found = docs.select(F.col(f"`{text}`")).mapInArrow(_count_words, "word long, n long")
-    top = (found.groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(FREQUENT).collect())
+    return materialize(found.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted digests and ranks of the most frequent words of a table of counts."""
+    top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     keys = np.array([r.word for r in top], np.int64).view(np.uint64)
     rank = np.argsort(keys, kind="stable")
     return keys[rank], rank
@@ -189,10 +202,11 @@ class Model:
     def __init__(self, vector: np.ndarray, keys: np.ndarray, rank: np.ndarray):
         self.vector, self.keys, self.rank = vector, keys, rank
 
-    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens, and the sum of their log-probabilities, of each text."""
-        w, n, total = parts(self.vector), [], []
-        for _, offsets, raw in text_blocks(texts):
+    def blocks(self, texts: pa.Array) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
+        """Runs of texts: first row, words, tokens, and each text's sum of the
+        log-probabilities of its tokens."""
+        w = parts(self.vector)
+        for first, offsets, raw in text_blocks(texts):
             words = Words(offsets, raw, NOT_ALNUM)
             line, place = tokens_of(words, self.keys, self.rank)
             log_p = np.zeros(len(place))
@@ -200,16 +214,24 @@ class Model:
                 at = place[k:k + BATCH]
                 log_p[k:k + BATCH] = forward(w, _contexts(line, at), line[at])[0]
             sums = np.concatenate([[0.0], np.cumsum(log_p)])
-            n.append(words.counts())
-            total.append(np.diff(sums[words.first]))
-        return (np.concatenate(n), np.concatenate(total)) if n else (np.zeros(0, int), np.zeros(0))
+            yield first, words, line[place], np.diff(sums[words.first])
+
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens, and the sum of their log-probabilities, of each text."""
+        found = [(words.counts(), total) for _, words, _, total in self.blocks(texts)]
+        if not found:
+            return np.zeros(0, int), np.zeros(0)
+        n, total = zip(*found)
+        return np.concatenate(n), np.concatenate(total)
 
 
-def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS,
+          words: DataFrame | None = None) -> Model:
     """Vocabulary and network from all texts.  What the tasks of a round learnt is
-    averaged by Spark, weight by weight; the driver holds one network."""
+    averaged by Spark, weight by weight; the driver holds one network.  ``words``:
+    the table of ``word_counts`` of the texts, if it is there already."""
     spark = prepare(docs.sparkSession)
-    keys, rank = vocabulary(docs, text)
+    keys, rank = vocabulary(word_counts(docs, text) if words is None else words)
     vector = initial()
     turn = F.pmod(F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(rounds))
     for r in range(rounds):
@@ -224,12 +246,95 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     return Model(vector, keys, rank)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def _block(number: int, held: list) -> pa.RecordBatch:
+    """Scored texts and, in the first row, the distinct rare words of them all."""
+    ids, n, total, rare_n, rare = (np.concatenate(x) for x in zip(*held))
+    word, place = np.unique(rare, return_inverse=True)
+    ends = pa.array(np.concatenate([[0], np.cumsum(rare_n)]), pa.int32())
+    kind = pa.list_(pa.int64())
+    first = pa.array([word.view(np.int64)], kind)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(ids), number)), pa.array(ids), pa.array(n, pa.int64()), pa.array(total),
+         pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+         pa.concat_arrays([first, pa.nulls(len(ids) - 1, kind)])],
+        ["block", "id", "n", "total", "places", "words"])
+
+
+def _score_task(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """The task's texts (id, text) in numbered blocks of about LOOKUP_BYTES: tokens,
+    the sum of their log-probabilities, and the places of a text's rare words among
+    the block's distinct ones."""
+    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for at, words, token, total in model.blocks(batch.column(1)):
+            rows = len(total)
+            rare = token > FREQUENT
+            row = np.repeat(np.arange(rows), words.counts())
+            held.append((ids[at:at + rows], words.counts(), total,
+                         np.bincount(row[rare], minlength=rows), words.hash[rare]))
+            size += 64 * rows + int((words.end - words.start).sum())
+            if size >= LOOKUP_BYTES:
+                yield _block(number, held)
+                number, held, size = number + 1, [], 0
+    if held:
+        yield _block(number, held)
+
+
+def _add_rare(texts: pa.Table, words: pa.Table) -> pa.Table:
+    """Texts of a block with the log-probabilities of their rare words added."""
+    log_p = np.zeros(words.num_rows)
+    log_p[words["place"].to_numpy()] = words["log_p"].to_numpy()
+    places = texts["places"].combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(places).to_numpy(zero_copy_only=False))])
+    sums = np.concatenate([[0.0], np.cumsum(log_p[places.flatten().to_numpy()])])
+    return pa.table({"id": texts["id"], "n": texts["n"],
+                     "log_prob": pa.array(texts["total"].to_numpy() + np.diff(sums[ends.astype(np.int64)]))})
+
+
+def _bucket_totals(words: DataFrame, keys: np.ndarray) -> dict[int, int]:
+    """Occurrences of rare words by bucket (BUCKETS rows at most)."""
+    rare = words.where(~F.col("word").isin(keys.view(np.int64).tolist())) if len(keys) else words
+    return {r.bucket: r.n for r in rare.groupBy(F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
+            .agg(F.sum("n").alias("n")).collect()}
+
+
+def _score_words(docs: DataFrame, model: Model, text: str, words: DataFrame) -> DataFrame:
+    """Each block of texts looks its distinct rare words up once: a word that many
+    texts have is one row a block, so no key of the joins is hot."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    numbered = materialize(docs.select(  # written: the numbers must stay
+        F.monotonically_increasing_id().alias("id"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")), "numbered")
+    blocks = materialize(numbered.select("id", F.col(f"_row.`{text}`").alias("t")).mapInArrow(
+        lambda it: _score_task(it, shared.value),
+        "block long, id long, n long, total double, places array<int>, words array<long>"), "lm-blocks")
+    totals = _bucket_totals(words, model.keys)
+    mass = F.array(*[F.lit(totals.get(b, 0) + 1).cast("double") for b in range(BUCKETS)])
+    looked_up = (blocks.where("words is not null").select("block", F.posexplode("words").alias("place", "word"))
+                 .join(words, "word", "left")
+                 .select(F.col("block").alias("of"), "place", F.log(F.coalesce("n", F.lit(1)) / F.get(
+                     mass, F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))).alias("log_p")))
+    sums = (blocks.select("block", "id", "n", "total", "places").groupBy("block")
+            .cogroup(looked_up.groupBy("of")).applyInArrow(_add_rare, "id long, n long, log_prob double"))
+    return numbered.join(sums, "id").select("_row", F.col("n").alias("n_tokens"), "log_prob")
+
+
+def score(docs: DataFrame, model: Model, text: str = "text", words: DataFrame | None = None) -> DataFrame:
     """The struct ``_row`` (all columns), ``n_tokens`` and ``log_prob`` of every text.
 
+    ``words`` is the table of ``word_counts`` of the training texts: a rare word then
+    counts with log P(bucket | context) + log P(word | bucket), where the second is
+    its count over (all rare words of its bucket + 1).  The one that is added is the
+    mass of the bucket's unseen words: each of them gets all of it, as nothing is
+    known to tell them apart.  Without ``words`` a rare word counts as its bucket
+    alone, which is no probability of the word.
+
     Null and empty texts have no tokens and the log-probability zero.  An empty
     table gives an empty result; columns of any name are carried inside ``_row``."""
     spark = prepare(docs.sparkSession)
+    if words is not None:
+        return _score_words(docs, model, text, words)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<n: long, log_prob: double>")

@@ -139,9 +139,11 @@ def op9(spark, sf_dir):
 
 @register("op2_lm_score")
 def op2(spark, sf_dir):
-    """Masked pseudo-likelihood of every document, by a network trained on all of them."""
+    """Masked pseudo-likelihood of every document, by a network trained on all of them
+    and the counts of all their words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = lm_score.score(docs, lm_score.train(docs))
+    words = lm_score.word_counts(docs)
+    found = lm_score.score(docs, lm_score.train(docs, words=words), words=words)
     return found.select("_row.doc_id", "n_tokens", "log_prob",
                         F.try_divide("log_prob", "n_tokens").alias("mean_log_prob"))
 

@@ -385,3 +385,38 @@ def test_warc(spark):
     assert types["response", 0] == 2 and types["revisit", 0] == 0
     folder, manifest = warc.write_archives(df.limit(0))
     assert warc.read_archives(spark, folder, manifest).count() == 0
+
+
+def test_lm_rare_words_keep_their_identity(spark):
+    """More words than the network has tokens: a rare word counts with its own share
+    of its bucket, and so a swap for another word of the bucket shows."""
+    def digest(w):
+        return int(lm_score.Words(np.array([0, len(w)]), np.frombuffer(w.encode(), np.uint8),
+                                  lm_score.NOT_ALNUM).hash[0])
+    texts = [" ".join(f"word{j}" for j in range(k % 7, 1500, 1 + k % 5)) for k in range(40)] + ODD
+    docs = documents(spark, texts)
+    counts = Counter(w for t in texts for w in alnum_words(t))
+    words = lm_score.word_counts(docs)
+    assert words.count() == len(counts)
+    model = lm_score.train(docs, words=words)
+    frequent = set(model.keys.tolist())
+    assert len(frequent) == lm_score.FREQUENT < len(counts)
+    rare = {w: digest(w) for w in counts if digest(w) not in frequent}
+    total = Counter()
+    for w, h in rare.items():
+        total[h % lm_score.BUCKETS] += counts[w]
+    seen = max(rare, key=lambda w: (counts[w], w))
+    unseen = next(f"garbage{k}" for k in range(10 ** 6)
+                  if (digest(f"garbage{k}") - rare[seen]) % lm_score.BUCKETS == 0)
+    asked = texts + [f"a {seen} b", f"a {unseen} b"]
+    rows = lm_score.score(documents(spark, asked), model, words=words).collect()
+    assert sorted(r._row.doc_id for r in rows) == list(range(len(asked)))
+    for r in rows:
+        n, own = model.score(pa.array([r._row.text], pa.string()))
+        for w in alnum_words(r._row.text):
+            if digest(w) not in frequent:
+                own = own + np.log(max(1, counts[w]) / (total[digest(w) % lm_score.BUCKETS] + 1))
+        assert r.n_tokens == n[0]
+        assert abs(r.log_prob - own[0]) <= 1e-3 * max(1, n[0])
+    swapped = {r._row.doc_id: r.log_prob for r in rows}
+    assert swapped[len(texts)] - swapped[len(texts) + 1] == pytest.approx(np.log(counts[seen]), abs=1e-3)
