@@ -69,14 +69,14 @@ class Index:
     """One block of items: their words, and the fingerprints by (gram length,
     whether winnowed) as sorted digests and the words they start at."""
 
-    ids: np.ndarray      # by item row: its identifier as text
+    ids: np.ndarray      # by item row: its identifier as text, or None
     words: np.ndarray    # digests of all words, item after item
     row: np.ndarray      # item row of each word
     need: np.ndarray     # by item row: words that must agree
     grams: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]
 
 
-def build_index(items: list[tuple[str, bytes]]) -> Index:
+def build_index(items: list[tuple[str | None, bytes]]) -> Index:
     """An item of fewer than SPAN words, but not none, must occur whole: its first
     gram stands for it, and is looked up among all grams of a document."""
     ids, rows = [], []
@@ -185,7 +185,7 @@ def scan(texts: pa.Array, index: Index) -> pa.Array:
 FOUND = "n_words int, spans array<struct<first:int, words:int>>, items array<string>"
 
 
-def _finder(spark, items: list[tuple[str, bytes]]):
+def _finder(spark, items: list[tuple[str | None, bytes]]):
     shared = spark.sparkContext.broadcast(build_index(items))
 
     @F.arrow_udf(f"struct<{FOUND}>")
@@ -197,20 +197,22 @@ def _finder(spark, items: list[tuple[str, bytes]]):
 def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                    item_text: str = "text", index_bytes: int = INDEX_BYTES) -> DataFrame:
     """One row per document: the struct ``_row`` (all its columns), ``n_words``,
-    ``n_hit``, ``spans`` (runs of hit words: first word, words) and ``items``
-    (identifiers, as text and sorted, of the items that have an occurring window).
+    ``n_hit``, ``spans`` (runs of hit words: first word, words), ``items``
+    (identifiers, as text and sorted, of the items that have an occurring window) and
+    ``n_items`` (their number).
 
     A window is SPAN consecutive words of an item, or all words of a shorter one;
     a word is hit if it lies in an occurrence of a window.  Null and empty texts
     have no words; items without words have no window.  Items with a null
-    identifier are left out; rows with one identifier count as one item.  An
-    empty benchmark hits nothing; an empty table gives an empty result.  Columns
+    identifier hit words as all others do; they are not in the list ``items``, and
+    all of them together count as one in ``n_items``.  Rows with one identifier
+    count as one item.  An empty benchmark hits nothing; an empty table gives an empty result.  Columns
     of any name may be carried: they stay inside ``_row``.
     """
     spark = prepare(docs.sparkSession)
     own = items.select(F.col(f"`{item_id}`").cast("string").alias("i"),
                        F.encode(F.coalesce(F.col(f"`{item_text}`"), F.lit("")), "UTF-8").alias("t")
-                       ).where("i is not null").distinct()
+                       ).distinct()
     size = own.agg(F.coalesce(F.sum(F.length("t") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-size // index_bytes))
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
@@ -231,9 +233,12 @@ def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_i
     words = F.size(F.array_distinct(F.flatten(F.transform(
         spans, lambda s: F.sequence(s["first"], s["first"] + s["words"] - 1))))) if blocks > 1 else (
         F.aggregate(spans, F.lit(0), lambda n, s: n + s["words"]))
+    named = F.filter("found_0.items", lambda i: i.isNotNull())
+    unnamed = F.exists("found_0.items", lambda i: i.isNull())
     return out.select("_row", F.col("found_0.n_words").cast("long").alias("n_words"),
                       words.cast("long").alias("n_hit"), spans.alias("spans"),
-                      F.array_sort("found_0.items").alias("items"))
+                      F.array_sort(named).alias("items"),
+                      (F.size(named) + unnamed.cast("int")).cast("long").alias("n_items"))
 
 
 def contaminated(n_words: Column, n_hit: Column) -> Column:

@@ -56,8 +56,7 @@ def op1(spark, sf_dir):
     found = decontaminate.find_benchmark(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select(
-        F.col("_row.doc_id").alias("doc_id"), "n_words", "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+        F.col("_row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items",
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"))
 

@@ -6,11 +6,11 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
-from helpers import ODD, ODD_IDS, benchmark_hits, components_of, crc, documents, lower, simhash
+from helpers import ODD, ODD_IDS, SENTENCE, benchmark_hits, components_of, crc, documents, lower, simhash
 
 import __spark_entry__ as E
 import corpus_pipeline
-from glyphlex.llm import queries
+from glyphlex.llm import decontaminate, queries
 from glyphlex.llm.tokens import WordEncoder, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -131,3 +131,30 @@ def test_stages_on_odd_rows(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def odd_benchmark(spark, folder, items, texts):
+    """op1 by Spark and by its SQL, over a benchmark of its own."""
+    documents(spark, texts).select("doc_id", "text").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
+    got = E.queries()["op1_decontaminate"](spark, folder).toPandas()
+    want = con.execute(E.oracle_sql()["op1_decontaminate"]).fetchdf()
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, got[cols].astype(str).values)) == sorted(map(tuple, want[cols].astype(str).values))
+    return {r.doc_id: r for r in got.itertuples()}
+
+
+@pytest.mark.parametrize("index_bytes", [1 << 20, 100])
+def test_items_without_identifier_hit_words(spark, tmp_path, index_bytes):
+    items = [(1, "lazy dog"), (None, "zwölf Boxkämpfer"), (None, "wizards quietly")]
+    texts = [SENTENCE, "a zwölf boxkämpfer b", "zwölf boxkämpfer, wizards quietly; the lazy dog", "none", None]
+    rows = odd_benchmark(spark, str(tmp_path), items, texts)
+    assert [(rows[k].n_hit, rows[k].n_items, rows[k].contaminated) for k in range(4)] == [
+        (4, 2, True), (2, 1, True), (6, 2, True), (0, 0, False)]
+    found = decontaminate.find_benchmark(documents(spark, texts), spark.createDataFrame(
+        items, "item_id long, text string"), index_bytes=index_bytes).collect()
+    assert {r._row.doc_id: (r.n_hit, r.n_items, r["items"]) for r in found} == {
+        0: (4, 2, ["1"]), 1: (2, 1, []), 2: (6, 2, ["1"]), 3: (0, 0, []), 4: (0, 0, [])}
