@@ -233,7 +233,8 @@ def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_i
     words = F.size(F.array_distinct(F.flatten(F.transform(
         spans, lambda s: F.sequence(s["first"], s["first"] + s["words"] - 1))))) if blocks > 1 else (
         F.aggregate(spans, F.lit(0), lambda n, s: n + s["words"]))
-    named = F.filter("found_0.items", lambda i: i.isNotNull())
+    # a block too may hold one identifier with several texts
+    named = F.array_distinct(F.filter("found_0.items", lambda i: i.isNotNull()))
     unnamed = F.exists("found_0.items", lambda i: i.isNull())
     return out.select("_row", F.col("found_0.n_words").cast("long").alias("n_words"),
                       words.cast("long").alias("n_hit"), spans.alias("spans"),

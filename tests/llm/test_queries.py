@@ -158,3 +158,13 @@ def test_items_without_identifier_hit_words(spark, tmp_path, index_bytes):
         items, "item_id long, text string"), index_bytes=index_bytes).collect()
     assert {r._row.doc_id: (r.n_hit, r.n_items, r["items"]) for r in found} == {
         0: (4, 2, ["1"]), 1: (2, 1, []), 2: (6, 2, ["1"]), 3: (0, 0, []), 4: (0, 0, [])}
+
+
+@pytest.mark.parametrize("index_bytes", [1 << 20, 100])
+def test_one_identifier_on_two_texts_is_one_item(spark, tmp_path, index_bytes):
+    items = [(1, "lazy dog"), (1, "wizards quietly"), (2, "seven"), (2, "their boxes")]
+    rows = odd_benchmark(spark, str(tmp_path), items, [SENTENCE, "a lazy dog"])
+    assert [rows[k].n_items for k in range(2)] == [2, 1]
+    found = decontaminate.find_benchmark(documents(spark, [SENTENCE, "a lazy dog"]), spark.createDataFrame(
+        items, "item_id long, text string"), index_bytes=index_bytes).collect()
+    assert {r._row.doc_id: (r.n_items, r["items"]) for r in found} == {0: (2, ["1", "2"]), 1: (1, ["1"])}
