@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..operators import dataset, mining, pseudo, reconcile, vocab, vote
 from ..operators import dictionaries as dicts
 from ..operators import substitute as subst
+from ..session import materialize
 from . import fixtures as fx
 from .catalog import (COMMON_CTE, CUSTOM_CTE, INJ_CTE, MINED_CTE, PREDICT_DICT_CTE, SPECIAL_CTE,
                       _lexicon, _occ_cte, register, rule_dictionary)
@@ -256,6 +257,59 @@ def q_k5(spark, sf):
     return dataset.truncation_report(b, ["text"], 50)
 
 
+_PAIR_VOCAB_CTE = """chars AS (
+  SELECT row_id, side, unnest(string_split(t, '')) AS token, unnest(range(0, length(t))) AS p
+  FROM (SELECT row_id, 0 AS side, source_text AS t FROM kept UNION ALL
+        SELECT row_id, 1, target_text FROM kept) WHERE length(t) > 0),
+vocab AS (
+  SELECT token, CAST(row_number() OVER (ORDER BY f) - 1 + 4 AS BIGINT) AS token_id
+  FROM (SELECT token, min({'r': row_id, 'c': side, 'p': p}) AS f FROM chars
+        WHERE token NOT IN ('[PAD]', '[UNK]', '[CLS]', '[SEP]') GROUP BY token)
+  UNION ALL SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 1), ('[CLS]', 2), ('[SEP]', 3))
+    v(token, token_id))"""
+
+
+@register("k4_pair_char_vocab", with_fixtures(["PAIRS"], _P1_CTE, _P1_KEPT, _PAIR_VOCAB_CTE,
+                                              body="SELECT token, token_id FROM vocab"))
+def q_k4_pairs(spark, sf):
+    """K4 over both sides of the training pairs of all documents."""
+    prepared = materialize(dataset.prepare_pairs(fx.raw_pairs(spark, sf)), "pairs")
+    return vocab.char_vocab(prepared, ["source_text", "target_text"])
+
+
+@register("k3_encode_training", with_fixtures(["PAIRS"], _P1_CTE, _P1_KEPT, _PAIR_VOCAB_CTE, """
+ids AS (
+  SELECT row_id, list(token_id ORDER BY p) FILTER (WHERE side = 0) AS s,
+         list(token_id ORDER BY p) FILTER (WHERE side = 1) AS t
+  FROM chars JOIN vocab USING (token) GROUP BY row_id)""", """enc AS (
+  SELECT row_id, [2] || COALESCE(s[1:48], []) || [3] AS s, [2] || COALESCE(t[1:48], []) || [3] AS t
+  FROM kept LEFT JOIN ids USING (row_id))""", body="""
+SELECT row_id, array_to_string(s || list_transform(range(50 - len(s)), lambda x: 0), ' ') AS source_ids,
+       array_to_string(list_transform(range(len(s)), lambda x: 1)
+                       || list_transform(range(50 - len(s)), lambda x: 0), ' ') AS source_mask,
+       array_to_string(t || list_transform(range(50 - len(t)), lambda x: -100), ' ') AS labels,
+       array_to_string(list_transform(range(len(t)), lambda x: 1)
+                       || list_transform(range(50 - len(t)), lambda x: 0), ' ') AS target_mask
+FROM enc"""))
+def q_k3_pairs(spark, sf):
+    """K3 over the training pairs of all documents, at the operator's own lengths."""
+    prepared = materialize(dataset.prepare_pairs(fx.raw_pairs(spark, sf)), "pairs")
+    done = dataset.encode_pairs(prepared, vocab.char_vocab(prepared, ["source_text", "target_text"]))
+    return done.select("row_id", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in (
+        "source_ids", "source_mask", "labels", "target_mask")])
+
+
+@register("k5_pair_truncation", with_fixtures(["PAIRS"], _P1_CTE, _P1_KEPT, body="""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE length(source_text) > 48) AS n_truncated_source_text,
+       count(*) FILTER (WHERE length(target_text) > 48) AS n_truncated_target_text,
+       CAST(floor(count(*) * 10 / 64) AS BIGINT) AS steps
+FROM kept"""))
+def q_k5_pairs(spark, sf):
+    """K5 over both sides of the training pairs of all documents."""
+    return dataset.truncation_report(dataset.prepare_pairs(fx.raw_pairs(spark, sf)),
+                                     ["source_text", "target_text"], 50)
+
+
 # ---------------------------------------------------------------------------
 # J9 vote, J10 pseudo labels
 # ---------------------------------------------------------------------------
