@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    collocations,
     decontaminate,
     exact_dedup,
+    importance,
     lm_score,
+    main_text,
     packing,
     quality,
     sharding,
@@ -179,3 +182,93 @@ def op5(spark, sf_dir):
         F.length("done.text").cast("long").alias("n_chars_edited"),
         F.crc32(F.encode("done.text", "UTF-8")).alias("text_crc32"),
         F.col("done.encoded").alias("chars_encoded_again"))
+
+
+#: For pages of the given form: one article, blocks in ``h1`` and ``p``.
+OP11_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''),
+                  '(?s)<article>(.*?)(</article>|\z)', 1), '</?(?:p|h1)>') AS parts FROM pages),
+b AS (SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(x, '<[^>]*>', ' ', 'g')) AS parts FROM a),
+c AS (SELECT page_id, url, list_transform(parts, lambda x: replace(replace(regexp_replace(regexp_replace(
+             regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#39;', ''''), '&#x27;', '''')) AS parts FROM b),
+d AS (SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(
+             regexp_replace(x, '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM c),
+e AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10) || chr(10)) AS text FROM d)
+SELECT page_id, url, text, length(text) AS n_chars FROM e"""
+
+
+@register("op11_main_text", OP11_SQL)
+def op11(spark, sf_dir):
+    """Main text of every page by tree scoring."""
+    found = main_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("_row.page_id", "_row.url", "text", "n_chars")
+
+
+#: CRC-32 of a word from the 256 remainders of the reversed polynomial.
+OP12_SQL = rf"""
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({WORDS_SQL.format(t='text')}, []) AS w FROM documents),
+dw AS (SELECT rid, unnest(w) AS word FROM d),
+bw AS (SELECT unnest({WORDS_SQL.format(t='text')}) AS word FROM benchmark),
+x AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+y AS (SELECT word, list_transform(range(len(h) // 2), lambda i: (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16
+             + instr('0123456789ABCDEF', h[2 * i + 2]) - 1) AS bytes FROM x),
+k AS (SELECT word, xor(list_reduce(list_concat([4294967295], bytes),
+             lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM y, t),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN k USING (word) GROUP BY bucket),
+u AS (SELECT bucket, count(*) AS n FROM bw JOIN k USING (word) GROUP BY bucket),
+g AS (SELECT b.bucket, CAST(floor(1000 * ln((coalesce(u.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)
+             / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)))) AS BIGINT) AS gain
+      FROM (SELECT DISTINCT bucket FROM k) b LEFT JOIN s USING (bucket) LEFT JOIN u USING (bucket)),
+m AS (SELECT rid, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+      FROM dw JOIN k USING (word) JOIN g USING (bucket) GROUP BY rid),
+h AS (SELECT rid, ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM d),
+f AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000.0 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN m USING (rid) JOIN h USING (rid)),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM f WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank
+FROM f LEFT JOIN r USING (rid)"""
+
+
+@register("op12_importance", OP12_SQL)
+def op12(spark, sf_dir):
+    """A tenth of the documents, in favour of those that look like the benchmark."""
+    found = importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                table(spark, sf_dir, "benchmark"), percent=10, least_words=20, n=1,
+                                buckets=10000, seed=2024)
+    return found.select(F.col("_row.doc_id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL}, '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n
+      FROM i, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+x AS (SELECT c.*, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+      FROM c, (SELECT unnest([1, 2]) AS cut) WHERE cut < k),
+y AS (SELECT x.lang, x.k, x.phrase, a, x.w, cut, g.n AS l, h.n AS r,
+             CAST(1000000::HUGEINT * a * a // (g.n::HUGEINT * h.n) AS BIGINT) AS score
+      FROM x JOIN f g ON g.lang = x.lang AND g.k = cut AND g.phrase = head
+             JOIN f h ON h.lang = x.lang AND h.k = x.k - cut AND h.phrase = tail),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase, k ORDER BY score, cut) = 1),
+o AS (SELECT lang, part, max(a) AS most FROM (
+          SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3)
+      GROUP BY ALL),
+q AS (SELECT z.* FROM z LEFT JOIN o ON z.k = 2 AND o.lang = z.lang AND o.part = z.phrase
+      WHERE most IS NULL OR 100 * most < 50 * a),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM q JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+
+@register("op13_collocations", OP13_SQL)
+def op13(spark, sf_dir):
+    """The 2000 strongest phrases of 2 and 3 words of each language."""
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs, most_words=3, least=10, within=50, top=2000)

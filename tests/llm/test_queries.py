@@ -27,7 +27,7 @@ def tables():
 def test_all_registered():
     names = E.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in queries.REGISTRY.items() if sql])
