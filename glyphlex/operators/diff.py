@@ -4,13 +4,12 @@ A character diff with the reference's block order (changed blocks print the
 shorter side first, ties print deletions first, and a popular-character rule
 applies once the second text reaches 200 characters) is not expressible in SQL,
 so it runs as an Arrow-batched ``mapInPandas`` stage over whole texts of any
-length.  Matching blocks come from the standard library; everything around the
-diff (filtering equal rows first, counting, ranking, joining) stays in Spark.
+length.  Matching blocks are those of the standard library, found in almost linear
+time (``matching.py``); everything around the diff (filtering equal rows first, counting, ranking, joining) stays in Spark.
 """
 
 from __future__ import annotations
 
-import difflib
 import string
 from collections import deque
 from collections.abc import Iterator
@@ -20,34 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-POPULAR_FROM = 200  # the diff's popular-character rule applies from this length of b
-
-
-class _FindMatcher(difflib.SequenceMatcher):
-    """``SequenceMatcher`` whose longest-match search uses ``str.find``.
+from .matching import Matcher
 
-    Below ``POPULAR_FROM`` characters in ``b`` the library has no junk and no
-    popular characters, and its longest match is the longest common substring
-    with the earliest start in ``a``, then in ``b`` - exactly what this search
-    returns.  Block recursion and opcodes are the library's own code.
-    """
-
-    def find_longest_match(self, alo=0, ahi=None, blo=0, bhi=None):
-        a, b = self.a, self.b
-        ahi = len(a) if ahi is None else ahi
-        bhi = len(b) if bhi is None else bhi
-        find = b.find
-        best, besti, i = 0, alo, alo
-        while i + best < ahi:
-            if find(a[i:i + best + 1], blo, bhi) >= 0:
-                k = best + 1
-                while i + k < ahi and find(a[i:i + k + 1], blo, bhi) >= 0:
-                    k += 1
-                best, besti = k, i
-            i += 1
-        if best == 0:
-            return difflib.Match(alo, blo, 0)
-        return difflib.Match(besti, find(a[besti:besti + best], blo, bhi), best)
+POPULAR_FROM = 200  # the diff's popular-character rule applies from this length of b
 
 
 Block = tuple[str, str]  # "-", "+" or " ", and the characters
@@ -88,8 +62,7 @@ def diff_blocks(a: str, b: str) -> Iterator[Block]:
     """E15 as blocks of equal, deleted and inserted characters, in the order in which
     ``difflib.Differ().compare(a, b)`` prints them."""
     long = len(b) >= POPULAR_FROM
-    matcher = difflib.SequenceMatcher if long else _FindMatcher
-    for tag, i1, i2, j1, j2 in matcher(None, a, b).get_opcodes():
+    for tag, i1, i2, j1, j2 in Matcher(None, a, b).get_opcodes():
         if tag == "equal":
             yield " ", a[i1:i2]
         elif tag == "replace" and long:
