@@ -21,9 +21,7 @@ broadcast or sort-merge from statistics), re-folded per row.
 
 from __future__ import annotations
 
-import bisect
 import uuid
-from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,12 +30,13 @@ from pyspark.sql import functions as F
 from ..functions import substitute as fs
 from ..functions.symbols import extract_symbols, is_symbol
 from ..session import materialize
+from .fold import Dictionary, fold_text
 
 NATIVE_MAX_KEYS = 256
 BROADCAST_MAX_BYTES = 64 << 20
 COLLECT_MAX_ROWS = 2_000_000
 
-_AUTOMATA: dict[str, tuple] = {}
+_DICTIONARIES: dict[str, Dictionary] = {}
 
 
 def dictionary_size(d: DataFrame) -> tuple[int, int]:
@@ -81,43 +80,6 @@ def choose_path(d: DataFrame) -> str:
 # Arrow fold
 # ---------------------------------------------------------------------------
 
-def _build_automaton(entries: Sequence[tuple[str, str]]):
-    import ahocorasick
-    positions: dict[str, list[int]] = {}
-    for i, (k, _v) in enumerate(entries):
-        if k:
-            positions.setdefault(k, []).append(i)
-    auto = ahocorasick.Automaton()
-    for k, idx in positions.items():
-        auto.add_word(k, (k, idx))
-    if positions:
-        auto.make_automaton()
-    return auto, bool(positions)
-
-
-def fold_text(text: str, entries: Sequence[tuple[str, str]], auto, nonempty: bool,
-              any_only: bool = False):
-    """Apply ``entries`` in rank order to ``text`` (exact E10 semantics)."""
-    if text is None:
-        return None
-    if not nonempty:
-        return False if any_only else text
-    acc, last = text, -1
-    while True:
-        best = None
-        for _end, (_k, idx) in auto.iter(acc):
-            j = bisect.bisect_right(idx, last)
-            if j < len(idx) and (best is None or idx[j] < best):
-                best = idx[j]
-        if any_only:
-            return best is not None
-        if best is None:
-            return acc
-        k, v = entries[best]
-        acc = acc.replace(k, v)
-        last = best
-
-
 def _arrow_fold_column(text: Column, entries: list[tuple[str, str]], spark,
                        any_only: bool = False) -> Column:
     token = uuid.uuid4().hex
@@ -126,17 +88,14 @@ def _arrow_fold_column(text: Column, entries: list[tuple[str, str]], spark,
 
     @F.pandas_udf(rtype)
     def fold(s: pd.Series) -> pd.Series:
-        got = _AUTOMATA.get(token)
-        if got is None:
-            ents = bc.value
-            auto, nonempty = _build_automaton(ents)
-            got = (ents, auto, nonempty)
-            if len(_AUTOMATA) >= 4:
-                _AUTOMATA.pop(next(iter(_AUTOMATA)))
-            _AUTOMATA[token] = got
-        ents, auto, nonempty = got
-        return pd.Series([fold_text(t, ents, auto, nonempty, any_only) for t in s.tolist()],
-                         dtype="object" if not any_only else "bool")
+        own = _DICTIONARIES.get(token)
+        if own is None:
+            if len(_DICTIONARIES) >= 4:
+                _DICTIONARIES.pop(next(iter(_DICTIONARIES)))
+            own = _DICTIONARIES[token] = Dictionary(bc.value)
+        if any_only:
+            return pd.Series([own.occurs(t) for t in s.tolist()], dtype="object")
+        return pd.Series([fold_text(t, own) for t in s.tolist()], dtype="object")
 
     return fold(text)
 
