@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .symbols import extract_symbols
+from .symbols import GRAMMAR, Symbols, extract_symbols
 
 UNKNOWN = "[UNK]"
 
@@ -50,23 +50,28 @@ def fold_replace_column(text, entries: Column) -> Column:
                        lambda acc, x: F.replace(acc, x["k"], x["v"]))
 
 
-def demojize(text, mapping: Mapping[str, str], unknown: str = UNKNOWN) -> Column:
+def demojize(text, mapping: Mapping[str, str], unknown: str = UNKNOWN,
+             symbols: Symbols = GRAMMAR) -> Column:
     """For each detected symbol in order, replace all its occurrences.
 
     Missing symbols become ``unknown``.  Replacement is by substring, so a short
     symbol earlier in the list also hits inside a later, longer sequence.
     """
-    m = map_literal(mapping)
-    return F.aggregate(extract_symbols(text), _col(text).cast("string"),
+    return demojize_from(text, map_literal(mapping), unknown, symbols)
+
+
+def demojize_from(text, values: Column, unknown: str = UNKNOWN, symbols: Symbols = GRAMMAR) -> Column:
+    """E8 with a map column (null: an empty one)."""
+    return F.aggregate(extract_symbols(text, symbols), _col(text).cast("string"),
                        lambda acc, e: F.replace(
-                           acc, e, F.coalesce(F.element_at(m, e), F.lit(unknown))))
+                           acc, e, F.coalesce(F.element_at(values, e), F.lit(unknown))))
 
 
 def demojize_with_symbols(text, mapping: Mapping[str, str],
-                          unknown: str = UNKNOWN) -> Column:
+                          unknown: str = UNKNOWN, symbols: Symbols = GRAMMAR) -> Column:
     """``struct(text, symbols)``."""
-    return F.struct(demojize(text, mapping, unknown).alias("text"),
-                    extract_symbols(text).alias("symbols"))
+    return F.struct(demojize(text, mapping, unknown, symbols).alias("text"),
+                    extract_symbols(text, symbols).alias("symbols"))
 
 
 def contains_any(text, keys: Sequence[str]) -> Column:

@@ -2,11 +2,15 @@
 
 The grammar is written with ``\\x{...}`` escapes only, so the same pattern string
 is valid in Java regex (Spark) and RE2 (DuckDB oracle) and both engines pick the
-same leftmost-first alternative.
+same leftmost-first alternative.  Instead of the grammar, every function takes a
+closed list of sequences (``closed_list``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,34 +46,104 @@ PLAIN_RUN = (r"[^0-9#*\x{A9}\x{AE}\x{200D}-\x{3299}\x{FE0F}\x{1F000}-\x{1FAFF}"
              r"\x{E0020}-\x{E007F}]+")
 
 
+@dataclass(frozen=True)
+class Symbols:
+    """What counts as a symbol: a pattern, and what no symbol holds (or None)."""
+
+    pattern: str
+    plain_run: str | None = None
+
+    @property
+    def whole(self) -> str:
+        return "^" + self.pattern + "$"
+
+
+#: All sequences that the grammar allows.
+GRAMMAR = Symbols(SYMBOL_PATTERN, PLAIN_RUN)
+
+
+def _code(ch: str) -> str:
+    return r"\x{%X}" % ord(ch)
+
+
+def _class(chars: list[str]) -> str:
+    """A character class; neighbours become ranges."""
+    parts: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if parts and parts[-1][1] + 1 == code:
+            parts[-1][1] = code
+        else:
+            parts.append([code, code])
+    return "[" + "".join(_code(chr(a)) + ("" if a == b else "-" + _code(chr(b))) for a, b in parts) + "]"
+
+
+def closed_list(symbols: Iterable[str]) -> Symbols:
+    """Exactly the given sequences, the longest at the leftmost place.
+
+    They become a code-point trie, and the trie a pattern: at every node the
+    characters with equal rests share one class, so no character is tried twice,
+    and a rest is tried before a shorter symbol that ends at its node.
+    """
+    root: dict = {}
+    for symbol in symbols:
+        node = root
+        for ch in symbol or "":
+            node = node.setdefault(ch, {})
+        if symbol:
+            node[""] = {}
+
+    def pattern(node: dict) -> str:
+        rests: dict[str, list[str]] = {}
+        for ch, child in node.items():
+            if ch:
+                rests.setdefault(pattern(child), []).append(ch)
+        own = "|".join(_class(chars) + rest for rest, chars in rests.items())
+        if not own:
+            return ""
+        return f"(?:{own})" + ("?" if "" in node else "")
+
+    used = set()
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        used.update(ch for ch in node if ch)
+        todo.extend(node.values())
+    plain = f"[^{_class(list(used))[1:-1]}]+" if used and " " not in used else None
+    return Symbols(pattern(root) or NOTHING, plain)
+
+
+#: Matches no text at all.
+NOTHING = r"(?:[^\x{0}-\x{10FFFF}])"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _short(text) -> Column:
-    return F.regexp_replace(_col(text), PLAIN_RUN, " ")
+def _short(text, symbols: Symbols) -> Column:
+    return F.regexp_replace(_col(text), symbols.plain_run, " ") if symbols.plain_run else _col(text)
 
 
-def extract_symbols(text) -> Column:
+def extract_symbols(text, symbols: Symbols = GRAMMAR) -> Column:
     """Every symbol, left to right, longest sequence, repeats kept."""
-    return F.regexp_extract_all(_short(text), F.lit(SYMBOL_PATTERN), 0)
+    return F.regexp_extract_all(_short(text, symbols), F.lit(symbols.pattern), 0)
 
 
-def symbol_count(text) -> Column:
+def symbol_count(text, symbols: Symbols = GRAMMAR) -> Column:
     """Number of symbols including repeats (0 for empty text)."""
-    return F.size(extract_symbols(text))
+    return F.size(extract_symbols(text, symbols))
 
 
-def distinct_symbols(text) -> Column:
+def distinct_symbols(text, symbols: Symbols = GRAMMAR) -> Column:
     """The distinct symbols of a text, sorted (the reference's order is a set's)."""
-    return F.array_sort(F.array_distinct(extract_symbols(text)))
+    return F.array_sort(F.array_distinct(extract_symbols(text, symbols)))
 
 
-def is_symbol(text) -> Column:
+def is_symbol(text, symbols: Symbols = GRAMMAR) -> Column:
     """The whole value is exactly one symbol."""
-    return _col(text).rlike(FULL_SYMBOL_PATTERN)
+    return _col(text).rlike(symbols.whole)
 
 
-def has_symbol(text) -> Column:
+def has_symbol(text, symbols: Symbols = GRAMMAR) -> Column:
     """At least one symbol occurs."""
-    return _short(text).rlike(SYMBOL_PATTERN)
+    return _short(text, symbols).rlike(symbols.pattern)

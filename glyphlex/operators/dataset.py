@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.symbols import symbol_count
+from ..functions.symbols import GRAMMAR, Symbols, symbol_count
 from ..functions.text import add_prefix, chars, normalize_text, remove_spaces
 
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
@@ -25,7 +25,8 @@ PRIVATE, PRIVATE_MAX, NO_CHARACTER = 0xF0000, 60_000, "\uffff"
 
 
 def prepare_pairs(raw: DataFrame, prefix: str = "", do_filter: bool = True,
-                  full2half: bool = True, row_id: str = "row_id") -> DataFrame:
+                  full2half: bool = True, row_id: str = "row_id",
+                  symbols: Symbols = GRAMMAR) -> DataFrame:
     """(row_id, source_text, target_text) ready for mining and training.
 
     prefix the source (C3), normalise both sides (E3), remove spaces from the
@@ -40,17 +41,18 @@ def prepare_pairs(raw: DataFrame, prefix: str = "", do_filter: bool = True,
         remove_spaces(normalize_text(F.col("target_text"), full2half)).alias("target_text"))
     if do_filter:
         out = out.where((F.col("source_text") != F.col("target_text"))
-                        & (symbol_count("source_text") > 0))
+                        & (symbol_count("source_text", symbols) > 0))
     return out
 
 
-def funnel(raw: DataFrame, prefix: str = "", full2half: bool = True) -> DataFrame:
+def funnel(raw: DataFrame, prefix: str = "", full2half: bool = True,
+           symbols: Symbols = GRAMMAR) -> DataFrame:
     """Row counts through P1's steps in one aggregation pass."""
     src = normalize_text(add_prefix(F.col("source_text"), prefix), full2half)
     tgt = remove_spaces(normalize_text(F.col("target_text"), full2half))
     nonnull = F.col("source_text").isNotNull() & F.col("target_text").isNotNull()
     changed = nonnull & (src != tgt)
-    kept = changed & (symbol_count(src) > 0)
+    kept = changed & (symbol_count(src, symbols) > 0)
     return raw.agg(F.count(F.lit(1)).alias("n_raw"),
                    F.count_if(nonnull).alias("n_nonnull"),
                    F.count_if(changed).alias("n_changed"),
@@ -234,10 +236,10 @@ def truncation_report(df: DataFrame, cols: Sequence[str], max_len: int, epochs:
 
 
 def training_table(raw: DataFrame, dictionary: DataFrame, prefix: str = "",
-                   row_id: str = "row_id") -> DataFrame:
+                   row_id: str = "row_id", symbols: Symbols = GRAMMAR) -> DataFrame:
     """P10 tail: demojize the prepared source (E8), remove its spaces (E4),
     drop duplicate pairs (O2).  ``raw`` must already be prepared (P1)."""
     from .substitute import demojize
-    d = demojize(raw, "source_text", dictionary, "_gl_src", row_id=row_id)
+    d = demojize(raw, "source_text", dictionary, "_gl_src", row_id=row_id, symbols=symbols)
     d = d.select(row_id, remove_spaces("_gl_src").alias("source_text"), "target_text")
     return drop_duplicate_pairs(d, row_id=row_id)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.symbols import extract_symbols, is_symbol
+from ..functions.symbols import GRAMMAR, Symbols, extract_symbols, is_symbol
 from ..functions.text import CJK_FIRST, CJK_OR_ALNUM_FIRST, placeholder_digit, strip_and_wrap
 from .ranking import dense_index
 
@@ -74,12 +74,13 @@ def rank_by_key_length(d: DataFrame) -> DataFrame:
     return out.select("key", "value", F.col("r2").alias("rank"))
 
 
-def symbol_keys(d: DataFrame) -> DataFrame:
+def symbol_keys(d: DataFrame, symbols: Symbols = GRAMMAR) -> DataFrame:
     """Keys that are exactly one symbol, in rank order (key, rank)."""
-    return d.where(is_symbol("key")).select("key", "rank")
+    return d.where(is_symbol("key", symbols)).select("key", "rank")
 
 
-def refine(common: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def refine(common: DataFrame, labels: DataFrame | None = None,
+           symbols: Symbols = GRAMMAR) -> DataFrame:
     """P5: D5 + D6 + F7 back-fill, then I2.
 
     D5 drops one-character keys without a symbol that are CJK or ASCII alnum;
@@ -90,7 +91,7 @@ def refine(common: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """
     base = normalize(common)
     d5 = ((F.length("key") == 1) & F.col("key").rlike(CJK_OR_ALNUM_FIRST)
-          & (F.size(extract_symbols("key")) == 0))
+          & (F.size(extract_symbols("key", symbols)) == 0))
     step = base.where(~d5)
     rest = base.select(F.col("key").alias("rest_key"))
     cand = step.withColumn("rest", F.substring("key", 2, 1 << 30))
@@ -99,7 +100,7 @@ def refine(common: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             .select("key", "value", "rank"))
     if labels is None:
         return rank_by_key_length(step.select("key", "value", "rank"))
-    long_keys = step.where((F.size(F.array_distinct(extract_symbols("key"))) > 1)
+    long_keys = step.where((F.size(F.array_distinct(extract_symbols("key", symbols))) > 1)
                            & (F.size(F.split("value", " ", -1)) > 2))
     chars = long_keys.select(F.col("rank").alias("src_rank"),
                              F.posexplode(F.split("key", "")).alias("cpos", "ch"))

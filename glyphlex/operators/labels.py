@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import alias_list, first_usable_alias, speech_label
-from ..functions.symbols import is_symbol
+from ..functions.symbols import GRAMMAR, Symbols, is_symbol
 from ..sources.io import slice_annotations
 from .dictionaries import merge
 from .ranking import dense_index
@@ -22,29 +22,30 @@ def _ranked(df: DataFrame) -> DataFrame:
     return dense_index(df, ["file", "doc_pos"], "rank")
 
 
-def speech_labels(annotations: DataFrame) -> DataFrame:
+def speech_labels(annotations: DataFrame, symbols: Symbols = GRAMMAR) -> DataFrame:
     """D8 + E18: (key, value, rank) from ``type="tts"`` rows of known symbols."""
-    tts = annotations.where(is_symbol("cp") & (F.col("type") == "tts"))
+    tts = annotations.where(is_symbol("cp", symbols) & (F.col("type") == "tts"))
     cleaned = tts.select("file", "doc_pos", F.col("cp").alias("key"),
                          speech_label("text").alias("value"))
     return _ranked(cleaned.where(F.length("value") > 0)).select("key", "value", "rank")
 
 
-def alias_lists(annotations: DataFrame) -> DataFrame:
+def alias_lists(annotations: DataFrame, symbols: Symbols = GRAMMAR) -> DataFrame:
     """D8 + E20: (key, texts, rank) from the non-tts rows of known symbols."""
-    plain = annotations.where(is_symbol("cp") & (F.col("type").isNull()
-                                                 | (F.col("type") != "tts")))
+    plain = annotations.where(is_symbol("cp", symbols) & (F.col("type").isNull()
+                                                          | (F.col("type") != "tts")))
     cleaned = plain.select("file", "doc_pos", F.col("cp").alias("key"),
                            alias_list("text").alias("texts"))
     return _ranked(cleaned.where(F.size("texts") > 0)).select("key", "texts", "rank")
 
 
-def build_labels(annotation_sets: Sequence[DataFrame]) -> dict[str, DataFrame]:
+def build_labels(annotation_sets: Sequence[DataFrame],
+                 symbols: Symbols = GRAMMAR) -> dict[str, DataFrame]:
     """Speech labels and alias lists; later sets override earlier ones."""
-    tts = merge([speech_labels(a) for a in annotation_sets], policy="last")
+    tts = merge([speech_labels(a, symbols) for a in annotation_sets], policy="last")
     alias_parts = None
     for prio, a in enumerate(annotation_sets):
-        part = alias_lists(a).withColumn("prio", F.lit(prio))
+        part = alias_lists(a, symbols).withColumn("prio", F.lit(prio))
         alias_parts = part if alias_parts is None else alias_parts.unionByName(part)
     order = F.struct("prio", "rank")
     aliases = alias_parts.groupBy("key").agg(F.max_by("texts", order).alias("texts"),

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.symbols import is_symbol
+from ..functions.symbols import GRAMMAR, Symbols, is_symbol
 from ..functions.text import remove_spaces
 from ..session import materialize
 from .diff import mine_pairs
@@ -112,7 +112,8 @@ def mine_lexicon(df: DataFrame, source: str = "source_text", target: str = "targ
 
 
 def mine_unique(df: DataFrame, source: str = "source_text", target: str = "target_text",
-                row_id: str = "row_id", persist: bool = True) -> DataFrame:
+                row_id: str = "row_id", persist: bool = True,
+                symbols: Symbols = GRAMMAR) -> DataFrame:
     """P3 (+G5, D7): keys mined from normalised pairs without key clean-up; a key
     is kept when it is exactly one symbol with exactly one distinct text.
 
@@ -128,7 +129,7 @@ def mine_unique(df: DataFrame, source: str = "source_text", target: str = "targe
     if persist:
         per_key = materialize(per_key, "unique-keys")
     flagged = per_key.select("key", "value", "n_texts", "key_first",
-                             is_symbol("key").alias("is_symbol"))
+                             is_symbol("key", symbols).alias("is_symbol"))
     flagged = flagged.withColumn("unique", F.col("is_symbol") & (F.col("n_texts") == 1))
     return dense_index(flagged, ["key_first"], "rank").drop("key_first")
 

@@ -14,13 +14,17 @@ dictionary's measured size:
   applied one after another with a reliable checkpoint in between (the fold is
   sequential in rank, so chunking is exact).
 
-E8 (detected-symbol substitution) uses an inline map for small dictionaries
-and otherwise an equi-join of exploded symbols with the dictionary (Spark picks
-broadcast or sort-merge from statistics), re-folded per row.
+E8 (detected-symbol substitution) uses an inline map for small dictionaries;
+otherwise the different symbols of each block of rows are joined with the
+dictionary once, and the block's rows get them back as one map.
+
+E12 (contains any key) uses an inline test, an equi-join on exploded symbols, the
+automaton, or, for key sets beyond a broadcast, rarest-run signatures.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 import pandas as pd
@@ -28,10 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import substitute as fs
-from ..functions.symbols import extract_symbols, is_symbol
+from ..functions.symbols import GRAMMAR, Symbols, extract_symbols, is_symbol
+from ..functions.text import chars
 from ..session import materialize
 from .fold import Dictionary, fold_text
 
+#: Code points of a signature, bits of the table of signatures, parts of the join that
+#: the rows of one signature are dealt to, and blocks of rows a shuffle partition.
+GRAM, BITS, SALTS, BLOCKS = 3, 20, 16, 16
 NATIVE_MAX_KEYS = 256
 BROADCAST_MAX_BYTES = 64 << 20
 COLLECT_MAX_ROWS = 2_000_000
@@ -143,13 +151,15 @@ def apply_fold(df: DataFrame, text_col: str, dictionary: DataFrame, out_col: str
 
 
 def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str,
-                     row_id: str | None = None) -> DataFrame:
+                     row_id: str | None = None, symbols: Symbols = GRAMMAR,
+                     max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Boolean ``out_col``: the text contains at least one key.
 
     Small key sets: native ``exists``.  Symbol-only key sets: semi join on the
     exploded symbols (an equi-join), regrouped on ``row_id`` (a unique row key;
     without one, the rows are written once with a generated id so that both
-    sides of the join see the same ids).  Otherwise the Arrow automaton.
+    sides of the join see the same ids).  Otherwise the Arrow automaton, up to
+    ``max_bytes`` of keys; beyond that ``by_signatures``.
     """
     keyset = keys.select(F.col("key")).where(F.col("key").isNotNull() & (F.col("key") != ""))
     few = keyset.limit(NATIVE_MAX_KEYS + 1).collect()
@@ -158,8 +168,7 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
     keyset = materialize(keyset.distinct(), "flag-keys")
     stats = keyset.agg(F.count(F.lit(1)).alias("n"),
                        F.sum(F.octet_length("key")).alias("bytes"),
-                       F.max(F.octet_length("key")).alias("longest"),
-                       F.min(is_symbol("key").cast("int")).alias("all_sym")).first()
+                       F.min(is_symbol("key", symbols).cast("int")).alias("all_sym")).first()
     if stats["all_sym"] == 1:
         if row_id is not None and row_id in df.columns:
             rid, tagged = row_id, df
@@ -167,7 +176,7 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
             rid = "_gl_rid"
             tagged = materialize(df.withColumn(rid, F.monotonically_increasing_id()),
                                  "flag-rows")
-        hits = (tagged.select(rid, F.explode(F.array_distinct(extract_symbols(text_col)))
+        hits = (tagged.select(rid, F.explode(F.array_distinct(extract_symbols(text_col, symbols)))
                               .alias("key"))
                 .join(keyset, "key", "left_semi").select(rid).distinct()
                 .withColumn(out_col, F.lit(True)))
@@ -175,23 +184,77 @@ def contains_any_key(df: DataFrame, text_col: str, keys: DataFrame, out_col: str
                .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(False))))
         return out if rid == row_id else out.drop(rid)
     spark = df.sparkSession
-    if stats["n"] <= COLLECT_MAX_ROWS and stats["bytes"] <= BROADCAST_MAX_BYTES:
+    if stats["n"] <= COLLECT_MAX_ROWS and stats["bytes"] <= max_bytes:
         entries = [(k, "") for k, _v in collect_entries(
             keyset.withColumn("value", F.lit("")).withColumn("rank", F.lit(0)))]
         return df.withColumn(out_col, _arrow_fold_column(F.col(text_col), entries, spark,
                                                          any_only=True))
-    # beyond these bounds: OR the flags of chunks of the key set that keep both
-    from .ranking import dense_index
-    ranked = dense_index(keyset, ["key"], "_gl_r")
-    per_chunk = max(1, min(COLLECT_MAX_ROWS, BROADCAST_MAX_BYTES // int(stats["longest"])))
-    n_chunks = (int(stats["n"]) + per_chunk - 1) // per_chunk
-    out = df.withColumn(out_col, F.lit(False))
-    for c in range(n_chunks):
-        part = ranked.where((F.col("_gl_r") >= c * per_chunk) & (F.col("_gl_r") < (c + 1) * per_chunk))
-        entries = [(r["key"], "") for r in part.select("key").collect()]
-        hit = _arrow_fold_column(F.col(text_col), entries, spark, any_only=True)
-        out = out.withColumn(out_col, F.col(out_col) | hit).checkpoint(eager=True)
-    return out
+    return by_signatures(df, text_col, keyset, out_col, row_id)
+
+
+def _text_grams(text: Column, size: int) -> Column:
+    """The different runs of ``size`` code points of a text."""
+    c = chars(text)
+    runs = F.transform(F.sequence(F.lit(0), F.size(c) - size),
+                       lambda i: F.concat(*[F.get(c, i + k) for k in range(size)]))
+    return F.when(F.size(c) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
+def by_signatures(df: DataFrame, text_col: str, keyset: DataFrame, out_col: str,
+                  row_id: str | None = None) -> DataFrame:
+    """``contains_any_key`` for key sets of any size, by equi-joins.
+
+    A key's signature is the one of its runs of GRAM code points that the fewest
+    texts hold (of a shorter key: the key).  A text emits the runs that some
+    signature has, it meets the keys of that signature, and each meeting is checked
+    on the whole text.  A key with a run that no text holds is gone at once.
+
+    Before the shuffle a bit table of bounded size keeps back runs that are no
+    signature.  A frequent signature's rows are dealt to SALTS parts of the join.
+    """
+    if row_id is not None and row_id in df.columns:
+        rid, tagged = row_id, df
+    else:
+        rid = "_gl_rid"
+        tagged = materialize(df.withColumn(rid, F.monotonically_increasing_id()), "flag-rows")
+    keyset = keyset.select("key").distinct()
+    sizes = sorted(r.n for r in keyset.select(F.least(F.length("key"), F.lit(GRAM)).alias("n")).distinct().collect())
+
+    def emitted(wanted: DataFrame) -> DataFrame:
+        """(row, run) of the texts, but for most runs that are not in ``wanted``."""
+        slot = F.pmod(F.xxhash64("gram"), F.lit(1 << BITS))
+        words = wanted.select(slot.alias("at")).groupBy((F.col("at") / 63).cast("int").alias("word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
+                                     F.pmod("at", F.lit(63)).cast("int"))).alias("bits")).collect()
+        table = [0] * ((1 << BITS) // 63 + 1)
+        for r in words:  # at most 2**BITS / 63 numbers
+            table[r.word] = r.bits
+        bits = F.from_json(F.lit(json.dumps(table)), "array<long>")
+        # runs of each length there is, exploded together
+        runs = F.concat(*[_text_grams(F.col(text_col), n) for n in sizes])
+        rows = tagged.where(F.col(text_col).isNotNull()).select(F.col(rid).alias("row"), F.explode(runs).alias("gram"))
+        word = F.get(bits, (slot / 63).cast("int"))
+        kept = F.call_function("shiftright", word, F.pmod(slot, F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+        return rows.where(kept)
+
+    if not sizes:
+        return df.withColumn(out_col, F.lit(False))
+    runs = F.when(F.length("key") <= GRAM, F.array("key")).otherwise(_text_grams(F.col("key"), GRAM))
+    key_grams = materialize(keyset.select("key", F.explode(runs).alias("gram")), "key-runs")
+    seen = emitted(key_grams).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = materialize(
+        key_grams.join(seen, "gram", "left").groupBy("key")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("gram").alias("gram"))).alias("sig"))
+        .where("sig.n > 0").select("key", F.col("sig.gram").alias("gram")), "signatures")
+    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS))
+    texts = emitted(rarest).withColumn("salt", salt)
+    salted = rarest.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    met = texts.join(salted, ["gram", "salt"]).select("row", "key")
+    hits = (met.join(tagged.select(F.col(rid).alias("row"), F.col(text_col).alias("text")), "row")
+            .where(F.contains("text", "key")).select(F.col("row").alias(rid)).distinct()
+            .withColumn(out_col, F.lit(True)))
+    out = tagged.join(hits, rid, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit(False)))
+    return out if rid == row_id else out.drop(rid)
 
 
 def delete_keys(df: DataFrame, text_col: str, keys: DataFrame, out_col: str) -> DataFrame:
@@ -202,29 +265,32 @@ def delete_keys(df: DataFrame, text_col: str, keys: DataFrame, out_col: str) ->
 
 def demojize(df: DataFrame, text_col: str, dictionary: DataFrame, out_col: str,
              row_id: str = "row_id", unknown: str = fs.UNKNOWN,
-             path: str = "auto") -> DataFrame:
+             path: str = "auto", symbols: Symbols = GRAMMAR) -> DataFrame:
     """Replace each detected symbol (in order) by its dictionary value or ``unknown``."""
     if path in ("auto", "native"):
         small = bounded_entries(dictionary, NATIVE_MAX_KEYS * 4)
         if small is not None:
-            return df.withColumn(out_col, fs.demojize(text_col, dict(small), unknown))
+            return df.withColumn(out_col, fs.demojize(text_col, dict(small), unknown, symbols))
         if path == "native":
             raise ValueError("dictionary too large for the native path")
-    occ = df.select(F.col(row_id).alias("_gl_r"),
-                    F.posexplode(extract_symbols(text_col)).alias("_gl_s", "key"))
-    looked = occ.join(dictionary.select("key", "value"), "key", "left")
-    steps = looked.groupBy("_gl_r").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("_gl_s").alias("s"), F.col("key").alias("k"),
-        F.coalesce(F.col("value"), F.lit(unknown)).alias("v")))).alias("_gl_steps"))
-    joined = df.join(steps, F.col(row_id) == F.col("_gl_r"), "left")
-    folded = F.when(F.col("_gl_steps").isNull(), F.col(text_col)).otherwise(
-        fs.fold_replace_column(text_col, F.col("_gl_steps")))
-    return joined.withColumn(out_col, folded).drop("_gl_r", "_gl_steps")
-
-
-def oov_symbols(df: DataFrame, text_col: str, dictionary: DataFrame) -> DataFrame:
+    # rows are dealt to blocks by their id; the different symbols of a block look their
+    # values up once, whatever a symbol's share of all rows, and come back as one map
+    n_blocks = BLOCKS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_gl_block", F.pmod(F.xxhash64(row_id), F.lit(n_blocks)))
+    met = (dealt.select("_gl_block", F.explode(F.array_distinct(extract_symbols(text_col, symbols))).alias("key"))
+           .distinct())
+    maps = (met.join(dictionary.select("key", "value"), "key")
+            .groupBy("_gl_block").agg(F.map_from_entries(
+                F.collect_list(F.struct("key", F.coalesce("value", F.lit(unknown))))).alias("_gl_map")))
+    joined = dealt.join(maps, "_gl_block", "left")
+    return joined.withColumn(out_col, fs.demojize_from(text_col, F.col("_gl_map"), unknown, symbols)).drop(
+        "_gl_block", "_gl_map")
+
+
+def oov_symbols(df: DataFrame, text_col: str, dictionary: DataFrame,
+                symbols: Symbols = GRAMMAR) -> DataFrame:
     """(symbol, cnt) of detected symbols missing from the dictionary."""
-    occ = df.select(F.explode(extract_symbols(text_col)).alias("key"))
+    occ = df.select(F.explode(extract_symbols(text_col, symbols)).alias("key"))
     return (occ.join(dictionary.select("key"), "key", "left_anti")
             .groupBy(F.col("key").alias("symbol")).agg(F.count(F.lit(1)).alias("cnt")))
 

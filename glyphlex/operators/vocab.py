@@ -12,14 +12,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.symbols import extract_symbols
+from ..functions.symbols import GRAMMAR, Symbols, closed_list, extract_symbols
 from ..functions.text import chars
 from .ranking import dense_index
 
 
-def symbol_occurrences(df: DataFrame, text_col: str, row_id: str = "row_id") -> DataFrame:
+#: UTF-8 bytes of a closed symbol list, at most (published lists have under 100 kB).
+LIST_BYTES = 1 << 20
+
+
+def symbol_list(table: DataFrame, column: str = "symbol") -> Symbols:
+    """The closed list of the distinct values of ``column`` (null and empty ones
+    left out), for the ``symbols`` parameter of all symbol operators.  The list goes
+    into every plan as one pattern, so its bytes are checked first."""
+    own = table.select(F.col(column).alias("symbol")).where("symbol <> ''").distinct()
+    size = own.agg(F.coalesce(F.sum(F.octet_length("symbol")), F.lit(0))).first()[0]
+    if size > LIST_BYTES:
+        raise ValueError(f"a symbol list of {size} bytes; at most {LIST_BYTES}")
+    return closed_list(r.symbol for r in own.collect())
+
+
+def symbol_occurrences(df: DataFrame, text_col: str, row_id: str = "row_id",
+                       symbols: Symbols = GRAMMAR) -> DataFrame:
     """(row_id, seq, symbol): one row per detected symbol, in text order."""
-    return df.select(row_id, F.posexplode(extract_symbols(text_col)).alias("seq", "symbol"))
+    return df.select(row_id, F.posexplode(extract_symbols(text_col, symbols)).alias("seq", "symbol"))
 
 
 def known_symbols(occurrences: DataFrame, symbol_table: DataFrame,
@@ -32,29 +48,31 @@ def known_symbols(occurrences: DataFrame, symbol_table: DataFrame,
 
 
 def symbol_frequency(df: DataFrame, text_col: str,
-                     symbol_table: DataFrame | None = None) -> DataFrame:
+                     symbol_table: DataFrame | None = None,
+                     symbols: Symbols = GRAMMAR) -> DataFrame:
     """G1: (symbol, cnt) with repeats counted; optionally only listed symbols."""
-    occ = df.select(F.explode(extract_symbols(text_col)).alias("symbol"))
+    occ = df.select(F.explode(extract_symbols(text_col, symbols)).alias("symbol"))
     if symbol_table is not None:
         occ = known_symbols(occ, symbol_table)
     return occ.groupBy("symbol").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def symbol_totals(df: DataFrame, text_col: str) -> DataFrame:
+def symbol_totals(df: DataFrame, text_col: str, symbols: Symbols = GRAMMAR) -> DataFrame:
     """One row (total, n_distinct): symbol occurrences and distinct symbols."""
-    occ = df.select(extract_symbols(text_col).alias("syms"))
+    occ = df.select(extract_symbols(text_col, symbols).alias("syms"))
     per = occ.select(F.size("syms").alias("n"), F.explode_outer("syms").alias("symbol"))
     return per.agg(F.count("symbol").alias("total"),
                    F.countDistinct("symbol").alias("n_distinct"))
 
 
-def symbol_vocab(df: DataFrame, text_col: str, row_id: str = "row_id") -> DataFrame:
+def symbol_vocab(df: DataFrame, text_col: str, row_id: str = "row_id",
+                 symbols: Symbols = GRAMMAR) -> DataFrame:
     """(symbol, cnt, vocab_id, count_rank).
 
     vocab_id: 0,1,2... in first-seen order (G3/H1); count_rank: order by count
     descending, ties by first appearance (I1).
     """
-    occ = symbol_occurrences(df, text_col, row_id)
+    occ = symbol_occurrences(df, text_col, row_id, symbols)
     agg = occ.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.min(F.struct(F.col(row_id).alias("r"), F.col("seq").alias("s"))).alias("first"))
@@ -63,9 +81,10 @@ def symbol_vocab(df: DataFrame, text_col: str, row_id: str = "row_id") -> DataFr
     return ranked.select("symbol", "cnt", "vocab_id", "count_rank")
 
 
-def row_distinct_symbols(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+def row_distinct_symbols(df: DataFrame, text_col: str, keep: Sequence[str] = (),
+                         symbols: Symbols = GRAMMAR) -> DataFrame:
     """Distinct symbols per row (explode + distinct inside the row only)."""
-    return df.select(*keep, F.explode(F.array_distinct(extract_symbols(text_col))).alias("symbol"))
+    return df.select(*keep, F.explode(F.array_distinct(extract_symbols(text_col, symbols))).alias("symbol"))
 
 
 def char_vocab(df: DataFrame, text_cols: Sequence[str], row_id: str = "row_id",

@@ -336,4 +336,4 @@ def q_f9(spark, sf):
     return subst.oov_symbols(p, "source_text", common)
 
 
-from . import catalog_jobs, catalog_rules  # noqa: E402,F401  (registers parts 2 and 3)
+from . import catalog_jobs, catalog_lists, catalog_rules  # noqa: E402,F401  (registers parts 2 to 4)

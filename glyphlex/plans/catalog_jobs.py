@@ -514,8 +514,9 @@ def q_p12(spark, sf):
 
 
 @register("f1_row_aligned_join", with_fixtures(["CAND"], body="""
-SELECT a.id, a.prediction AS s0_prediction, b.prediction AS s1_prediction
-FROM cand a JOIN cand b ON a.id = b.id AND a.system = 's0' AND b.system = 's1'"""))
+SELECT id, max(CASE WHEN system = 's0' THEN prediction END) AS s0_prediction,
+       max(CASE WHEN system = 's1' THEN prediction END) AS s1_prediction
+FROM cand GROUP BY id"""))
 def q_f1(spark, sf):
     c = fx.candidates(spark, sf)
     left = c.where(F.col("system") == "s0").select("id", F.col("prediction").alias("s0_prediction"))

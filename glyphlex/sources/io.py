@@ -45,11 +45,13 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**TSV_OPTIONS).csv(path)
 
 
-def read_pairs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A2: the raw pair table (row_id, raw_text, source_text, target_text)."""
+def read_pairs(spark: SparkSession, path: str, fmt: str = "parquet",
+               multi_line: bool = True) -> DataFrame:
+    """A2: the raw pair table (row_id, raw_text, source_text, target_text); for a TSV
+    ``multi_line`` as in ``read_tsv``."""
     if fmt == "parquet":
         return spark.read.schema(PAIR_SCHEMA).parquet(path)
-    return read_tsv(spark, path, PAIR_SCHEMA)
+    return read_tsv(spark, path, PAIR_SCHEMA, multi_line)
 
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:
@@ -112,12 +114,14 @@ def write_dict(d: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_candidates(spark: SparkSession, systems: Mapping[str, str],
-                    schema: str = "id long, prediction string") -> DataFrame:
+                    schema: str = "id long, prediction string",
+                    multi_line: bool = True) -> DataFrame:
     """One TSV per system, in registration order; the score is the integer
-    after ``res`` in the last path component (as in ``res87730``)."""
+    after ``res`` in the last path component (as in ``res87730``).  ``multi_line`` as
+    in ``read_tsv``: without it a large system is read by many tasks."""
     parts = None
     for pos, (system, path) in enumerate(systems.items()):
-        part = read_tsv(spark, path, schema).select(
+        part = read_tsv(spark, path, schema, multi_line).select(
             "id", F.lit(system).alias("system"),
             F.regexp_extract(F.col("_metadata.file_path"), r"res(\d+)/[^/]*$", 1)
             .cast("int").alias("score"),
