@@ -1,18 +1,22 @@
 """Sharding by histogram sort, native DataFrame operations only.
 
-Rows are ordered by a 128-bit key: the digest of the text, then the digest of
-the identifier.  Splitters between the shards are found without sorting: each
+Rows are ordered by a 192-bit key: the digest of the text, the digest of the
+identifier, and a number of the row's own, so that repeated rows can be told
+apart.  Splitters between the shards are found without sorting: each
 round counts the exact bytes and rows below a set of probe keys over all
 partitions and refines the probes around every shard border that is not settled
 yet.  When all are settled, one exchange puts every row in its place.
 
-Equal texts share the first half of the key, so a group of copies stays in one
-shard.  Only a group larger than ``group_share`` of a shard may be cut, at the
-identifier digest nearest to the border.
+Equal texts share the first third of the key, so a group of copies stays in one
+shard.  Only a group larger than ``group_share`` of a shard may be cut, at the row
+nearest to the border.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,12 +28,12 @@ PROBES = 16
 #: Rows that one shard's sub-ranges may differ from each other, as a share (they
 #: only spread the work inside a shard).
 LOOSE = 0.25
-SPACE = 1 << 128
-GROUP = 1 << 64
+SPACE = 1 << 192
+GROUP = 1 << 128
 
 
 def _hex(key: int) -> str:
-    return f"{key:032X}"
+    return f"{key:048X}"
 
 
 def text_bytes(text: Column) -> Column:
@@ -37,8 +41,9 @@ def text_bytes(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def shard_key(text: Column, ident: Column) -> Column:
-    return F.concat(hex64(F.xxhash64(F.coalesce(text, F.lit("")))), hex64(F.xxhash64(ident)))
+def shard_key(text: Column, ident: Column, row: Column) -> Column:
+    return F.concat(hex64(F.xxhash64(F.coalesce(text, F.lit("")))), hex64(F.xxhash64(ident)),
+                    hex64(F.xxhash64(row)))
 
 
 class _Border:
@@ -122,34 +127,37 @@ def shard(docs: DataFrame, n_shards: int = 16, text: str = "text", doc_id: str =
     its border, whichever is more; a group of equal texts of at most
     ``group_share`` of a shard is not cut, which may add half of that.  A null
     text has no bytes and counts as equal to an empty one; every row has one byte
-    more than its text.  Rows that agree in text and identifier can't be told
-    apart and stay together.  An empty table gives an empty result.  Columns of
-    any name may be carried: they stay inside ``_row``.
+    more than its text.  Rows that agree in text and identifier are dealt like
+    other equal texts.  An empty table gives an empty result.  Columns of any name
+    may be carried: they stay inside ``_row``.
 
-    The keys are written once to the shared checkpoint folder; the rounds read
-    only them.  Texts move once, in the last exchange.
+    The rows are written once with their keys to the shared checkpoint folder, so
+    that a row keeps its number; the rounds read only the keys.  Texts move once,
+    in the last exchange.
     """
     t, i = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
     n_shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sub = max(1, -(-2 * n_shuffle // n_shards))
-    sizes = materialize(docs.select(shard_key(t, i).alias("key"), text_bytes(t).alias("size")),
-                        "shard-keys")
+    keyed = materialize(docs.select(
+        packed(docs), shard_key(t, i, F.monotonically_increasing_id()).alias("key"),
+        text_bytes(t).alias("size")), "shard-rows")
+    sizes = keyed.select("key", "size")
     every, between, _ = find_borders(sizes, n_shards, sub, tolerance, group_share)
     bounds, main = ([_hex(b) if b < SPACE else "G" for b in x] for x in (every, between))
 
-    def place(key: Column) -> list[Column]:
-        return [buckets_below(key, bounds).alias("part"), buckets_below(key, main).alias("shard")]
-
-    counts = sizes.select("size", *place(F.col("key"))).groupBy("shard", "part").agg(
-        F.count(F.lit(1)).alias("n"))
-    # one row for each range: at most n_shards * sub
-    first = materialize(counts.select("shard", "part", (F.coalesce(F.sum("n").over(
-        W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)),
-        F.lit(0))).alias("first")), "range-starts")
+    part = buckets_below(F.col("key"), bounds)
+    # one row for each range, which lies in one shard: at most n_shards * sub
+    counts = sizes.groupBy(part.alias("part"), buckets_below(F.col("key"), main).alias("shard")).agg(
+        F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    shards, first, filled = [0] * (len(bounds) + 1), [0] * (len(bounds) + 1), Counter()
+    for r in counts:
+        shards[r.part], first[r.part] = r.shard, filled[r.shard]
+        filled[r.shard] += r.n
+
+    def of_part(values: list[int], kind: str) -> Column:
+        return F.get(F.from_json(F.lit(json.dumps(values)), f"array<{kind}>"), F.col("part"))
     inside = W.partitionBy("part").orderBy("key")
-    return (docs.select(packed(docs), shard_key(t, i).alias("key"), text_bytes(t).alias("size"))
-            .select("_row", "key", "size", *place(F.col("key")))
+    return (keyed.select("_row", "key", "size", part.alias("part"))
             .withColumn("at", F.row_number().over(inside) - 1)
-            .join(F.broadcast(first), ["shard", "part"])
-            .select("_row", "size", F.col("shard").cast("int").alias("shard"),
-                    (F.col("first") + F.col("at")).cast("long").alias("slot")))
+            .select("_row", "size", of_part(shards, "int").alias("shard"),
+                    (of_part(first, "long") + F.col("at")).cast("long").alias("slot")))
