@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, prepare
-from .wordarrays import NOT_ALNUM, Words, gram_hashes, member, text_blocks
+from .wordarrays import NOT_ALNUM, Words, gram_hashes, member, mix, text_blocks
 
 SPAN, GRAM = 13, 6
 WINDOW = SPAN - GRAM + 1
@@ -93,13 +93,39 @@ def build_index(items: list[tuple[str | None, bytes]]) -> Index:
         g = gram_hashes(r, size)
         at = winnow(g) if full else np.zeros(1, np.int64)
         found.setdefault((size, full), []).append((g[at], at + start))
+    words = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+    row = np.repeat(np.arange(len(rows)), lengths)
     grams = {}
     for key, parts in found.items():
         g, at = (np.concatenate(x) for x in zip(*parts))
+        one, _ = _first_of_each(row[at], _contexts(words, row, at, key[0]))
+        g, at = g[one], at[one]
         order = np.argsort(g, kind="stable")
         grams[key] = (g[order], at[order])
-    return Index(np.array(ids, object), np.concatenate(rows) if rows else np.zeros(0, np.uint64),
-                 np.repeat(np.arange(len(rows)), lengths), np.minimum(lengths, SPAN), grams)
+    return Index(np.array(ids, object), words, row, np.minimum(lengths, SPAN), grams)
+
+
+def _contexts(words: np.ndarray, row: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Digests of all words that an extension from a gram may look at: places with
+    one context agree with any other place to the same extent."""
+    h = np.zeros(len(at), np.uint64)
+    for j in range(size - SPAN, SPAN):
+        k = at + j
+        own = np.clip(k, 0, len(row) - 1)
+        inside = (k == own) & (row[own] == row[at])
+        h = mix(h ^ np.where(inside, words[own], _TOP)) + np.uint64(1)
+    return h
+
+
+def _first_of_each(row: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the places of one row with one context, the first; and for each place the
+    number of its first one."""
+    order = np.lexsort((context, row))
+    new = np.ones(len(order), bool)
+    new[1:] = (row[order][1:] != row[order][:-1]) | (context[order][1:] != context[order][:-1])
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
 
 
 def _pairs(keys: np.ndarray, at: np.ndarray, grams: np.ndarray, where: np.ndarray,
@@ -143,14 +169,24 @@ def scan(texts: pa.Array, index: Index) -> pa.Array:
             grams = _grams_of_rows(words, size)
             where = winnow(grams) if full else np.arange(len(grams))
             where = where[member(keys, grams[where])]
-            for p, s in _pairs(keys, at, grams, where):
-                reach = SPAN - size
-                left, right = _extend(words, row, index, p, s, size, reach)
+            # places that look alike are extended once, so that repeated words do not
+            # meet each other in pairs
+            first, of = _first_of_each(row[where], _contexts(words.hash, row, where, size))
+            one = where[first]
+            left_most, right_most = np.zeros((2, len(one)), np.int64)
+            place = np.zeros(n, np.int32)
+            place[one] = np.arange(len(one))
+            for p, s in _pairs(keys, at, grams, one):
+                left, right = _extend(words, row, index, p, s, size, SPAN - size)
                 ok = (right >= size) & (left + right >= index.need[index.row[s]])
                 p, s, left, right = p[ok], s[ok], left[ok], right[ok]
-                np.add.at(edge, p - left, 1)
-                np.add.at(edge, p + right, -1)
+                np.maximum.at(left_most, place[p], left)
+                np.maximum.at(right_most, place[p], right)
                 met.append(np.unique(row[p] * len(index.ids) + index.row[s]))
+            # all spans from one place hold its gram, so their union is one span
+            found = right_most[of] > 0
+            np.add.at(edge, (where - left_most[of])[found], 1)
+            np.add.at(edge, (where + right_most[of])[found], -1)
         hit = np.concatenate([[0], np.cumsum(edge[:-1]) > 0, [0]]).astype(np.int8)
         begins = hit[1:-1] & ~hit[:-2] & 1
         stops = hit[1:-1] & ~hit[2:] & 1
