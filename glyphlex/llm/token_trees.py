@@ -5,21 +5,21 @@ finds.  About LEAF_CHARS of consecutive pre-tokens are a leaf of the document's
 segment tree; every node holds the characters and tokens below it.  The trees are
 a column of a table, next to the texts.
 
-Leaves are cut at a single space between two letters.  There the pattern always
-starts a new pre-token, whatever stands further away, so such a border stays one
-for as long as the letter before it and the two characters after it stay.  An
-edit finds its leaf by the character sums, goes out to the nearest borders that
-it leaves whole, and encodes only what lies between them; the leaves there get
-new sums, and the nodes above them.
+Leaves are cut at a single space between two other characters, and between a mark
+(no apostrophe) and a letter, in any script.  There the pattern always starts a new
+pre-token, whatever stands further away, so such a border stays one for as long as
+the character before it and the two after it stay.  An edit finds its leaf by the
+character sums, goes out to the nearest borders that it leaves whole, and encodes
+only what lies between them; the leaves there get new sums, and the nodes above them.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,13 +34,15 @@ PASS_EDITS = 1000
 TREE = "struct<chars: array<int>, tokens: array<int>>"
 EDITS = "array<struct<at: int, removed: int, added: string>>"
 
-_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
-_BORDER = re.compile(f"(?<={_LETTER}) (?={_LETTER})")
+_SOLID = r"[^\s\p{Z}\p{C}]"
+_BORDER = regex.compile(
+    rf"(?<={_SOLID}) (?={_SOLID})|(?<=(?!')[\p{{P}}\p{{S}}])(?=[\x00-\uffff])(?=\p{{L}})")
 
 
 class Encoder:
-    """Tokens of a text by a rank file of a byte-level BPE and its pattern, which
-    must be one that takes a space with the letters behind it."""
+    """Tokens of a text by a rank file of a byte-level BPE and its pattern, which must
+    be one that takes a space with what stands behind it, and keeps marks apart from
+    letters but for contractions after an apostrophe."""
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
