@@ -30,3 +30,9 @@ def labels_of(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
 def at_most(ids: DataFrame, n: int, bound: int, salt: int = 0) -> DataFrame:
     """About ``bound`` of ``n`` rows, chosen by identifier; all of them if n <= bound."""
     return ids if n <= bound else ids.where(spread(F.col("doc_id"), salt) < int(_GRAIN * bound / n))
+
+
+def one_text(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each combination of ``keys``, with its least text; repeated rows are
+    reduced before the shuffle."""
+    return rows.groupBy(*keys).agg(F.min("text").alias("text"))

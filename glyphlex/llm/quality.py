@@ -2,9 +2,8 @@
 
 One zstandard dictionary is built from labelled good text and one from labelled
 bad text.  Every whole text is compressed with both; the difference of the two
-sizes, as a share of the text and of the compressed sizes, and the compressed
-share itself become a calibrated score by a logistic curve, fitted to labelled
-texts that are in neither dictionary.
+sizes, as a share of the text and of the compressed sizes, becomes a calibrated
+score by a logistic curve, fitted to labelled texts that are in neither dictionary.
 """
 
 from __future__ import annotations
@@ -16,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, prepare
-from .labelled import at_most, labels_of, spread
+from .labelled import at_most, labels_of, one_text, spread
 
 #: Labelled rows of each kind for a dictionary, and for the calibration, at most.
 MAX_DICTIONARY, MAX_CALIBRATION = 1500, 4000
+#: Bytes of the texts of one kind that a dictionary is built from, at most.
+MAX_TEXT_BYTES = 16 << 20
 #: Bytes of a dictionary, and the compression level.
 DICTIONARY_BYTES, LEVEL = 112640, 3
 #: Bytes of a block that is compressed by itself.
@@ -71,15 +72,13 @@ class Sizer:
                 better += x < y
             rows.append((n, g, b, block_g, block_b, better / max(1, len(blocks))))
         n, g, b, block_g, block_b, better = np.array(rows, float).reshape(-1, 6).T
-        share = np.log((g + b) / (2 * (n + 16)))
         lead = (block_b - block_g) / (block_b + block_g + 16)
         return np.column_stack([(b - g) / (n + 16), (b - g) / (b + g), lead, np.abs(lead), better,
-                                share, share ** 2, np.log(n + 16), lead * np.log(n + 16),
-                                np.log((block_g + block_b + 16) / (2 * (n + 16)))])
+                                lead * np.log(n + 16)])
 
 
 #: Features of a text.
-WIDTH = 10
+WIDTH = 6
 
 
 class Model:
@@ -122,10 +121,13 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id",
           label: str = "quality", label_id: str = "doc_id", max_dictionary: int = MAX_DICTIONARY,
-          max_calibration: int = MAX_CALIBRATION) -> Model:
+          max_calibration: int = MAX_CALIBRATION, max_text_bytes: int = MAX_TEXT_BYTES) -> Model:
     """Learn from labelled rows outside the test fold: by identifier, one half
     serves the dictionaries and the other the calibration, each at most about so
-    many rows of each kind as the parameters say."""
+    many rows of each kind as the parameters say.  Of rows with one identifier the
+    least text counts.  Texts for a dictionary reach the driver, of each kind at
+    most ``max_text_bytes``: in the order of identifiers, a text that would exceed
+    them is left out."""
     prepare(docs.sparkSession)
     marked = labels_of(labels, label_id, label).withColumn("half", spread(F.col("doc_id"), 7) % 2)
     counts = {(r["y"], r["half"]): r["n"] for r in marked.groupBy("y", "half").agg(
@@ -141,10 +143,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
     # broadcast: at most about two times max_dictionary + max_calibration identifiers
-    sample = materialize(
-        docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-        .join(F.broadcast(materialize(chosen, "sample-ids")), "doc_id"), "sample")
-    own = sample.where("half = 0").orderBy("doc_id").collect()
+    sample = materialize(one_text(
+        docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+        .join(F.broadcast(materialize(chosen, "sample-ids")), "doc_id"), "doc_id", "y", "half"), "sample")
+    room, taken = {0: max_text_bytes, 1: max_text_bytes}, []
+    for r in sample.where("half = 0").select("doc_id", "y", F.octet_length("text").alias("n")).orderBy("doc_id").collect():
+        if r.n <= room[r.y]:
+            room[r.y] -= r.n
+            taken.append(r.doc_id)
+    own = sample.where((F.col("half") == 0) & F.col("doc_id").isin(taken)).orderBy("doc_id").collect()
     model = Model(*(build_dictionary([(r.text or "").encode() for r in own if r.y == y]) for y in (1, 0)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
