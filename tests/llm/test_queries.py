@@ -32,11 +32,12 @@ def test_all_registered():
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in queries.REGISTRY.items() if sql])
 def test_sql(spark, tables, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    want = tables.execute(E.oracle_sql()[name]).fetchdf()
-    cols = sorted(got.columns)
-    assert cols == sorted(want.columns)
-    assert sorted(map(tuple, got[cols].astype(str).values)) == sorted(map(tuple, want[cols].astype(str).values))
+    got = E.queries()[name](spark, SF)
+    want = tables.execute(E.oracle_sql()[name])
+    names = [d[0] for d in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(repr, (tuple(r) for r in got.select(*names).collect()))) == sorted(
+        map(repr, want.fetchall()))
 
 
 def test_simhash_query(spark, tables):
