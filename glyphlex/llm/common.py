@@ -12,10 +12,18 @@ from ..session import ensure_checkpoint_dir, materialize, ship_package
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Rows of one Arrow batch, so that texts of some kilobytes make batches of some
+#: megabytes in a worker; a session's own setting stays.
+ARROW_ROWS, ARROW_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder known, package importable in the Python workers."""
+    """Checkpoint folder known, package importable in the Python workers, batches of
+    a moderate size."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(ARROW_SETTING, None) is None:
+        spark.conf.set(ARROW_SETTING, str(ARROW_ROWS))
     return spark
 
 

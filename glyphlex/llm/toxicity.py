@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, prepare
-from .labelled import at_most, held_out, labels_of
+from .labelled import at_most, held_out, labels_of, one_text
 from .wordarrays import NOT_ALNUM, Words, member, mix, text_blocks
 
 #: Lengths in bytes of the word starts that are features besides whole words.
@@ -29,6 +29,8 @@ MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 6000, 12000, 4096
 #: A feature must be in so many positives, and stand out by so many deviations.
 LEAST_POSITIVES, DEVIATIONS = 4, 5.0
 STEPS, RATE, RIDGE = 400, 0.05, 0.1
+#: Text bytes whose features a worker holds at once.
+BLOCK_BYTES = 1 << 18
 
 
 def features(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -44,7 +46,7 @@ def features(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
 def distinct_features(texts: pa.Array) -> pa.Array:
     """The different features of each text, as longs."""
     sizes, values = [], []
-    for _, offsets, raw in text_blocks(texts):
+    for _, offsets, raw in text_blocks(texts, BLOCK_BYTES):
         words = Words(offsets, raw, NOT_ALNUM)
         rows = len(offsets) - 1
         row = np.repeat(np.arange(rows), words.counts())
@@ -64,7 +66,7 @@ def chosen_counts(texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     """(row, feature number, times) of the features in the sorted ``keys``, and the
     number of words of each row."""
     rows_, cols_, n_, words_ = [], [], [], []
-    for first, offsets, raw in text_blocks(texts):
+    for first, offsets, raw in text_blocks(texts, BLOCK_BYTES):
         words = Words(offsets, raw, NOT_ALNUM)
         row = np.repeat(np.arange(len(offsets) - 1), words.counts())
         words_.append(words.counts())
@@ -128,7 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
           label: str = "toxic", label_id: str = "doc_id", max_positive: int = MAX_POSITIVE,
           max_unlabelled: int = MAX_UNLABELLED, prior: float | None = None) -> Model:
     """Learn from at most about ``max_positive`` confirmed texts and
-    ``max_unlabelled`` others outside the test fold.  Without ``prior`` the share
+    ``max_unlabelled`` others outside the test fold; of rows with one identifier the
+    least text counts.  Without ``prior`` the share
     of positives among the labelled rows is the class prior."""
     marked = labels_of(labels, label_id, label)
     n, n_p = marked.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -144,9 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         at_most(others, n_u, max_unlabelled, 1).distinct().withColumn("positive", F.lit(False)))
     chosen = materialize(chosen, "sample-ids")
     # broadcast: at most about max_positive + max_unlabelled identifiers
-    sample = materialize(
-        docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-        .join(F.broadcast(chosen), "doc_id"), "sample")
+    sample = materialize(one_text(
+        docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+        .join(F.broadcast(chosen), "doc_id"), "doc_id", "positive"), "sample")
 
     @F.arrow_udf("array<long>")
     def feature_set(texts: pa.Array) -> pa.Array:

@@ -34,10 +34,17 @@ SPACES = byte_classes("\0\t\n\v\f\r ")
 
 
 def _powers_up_to(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+    """Powers of the base and of its inverse modulo 2**64; those of a text longer than
+    a block are not kept."""
     if len(_powers[0]) < n:
+        if n > 2 * BLOCK_BYTES:
+            out = [np.full(n, b, np.uint64) for b in (_BASE, _INVERSE)]
+            for x in out:
+                x[0] = 1
+                np.multiply.accumulate(x, out=x)
+            return out
         for k, b in enumerate((_BASE, _INVERSE)):
-            x = np.full(max(n, BLOCK_BYTES + 1), b, np.uint64)
+            x = np.full(n, b, np.uint64)
             x[0] = 1
             _powers[k] = np.multiply.accumulate(x)
     return _powers
