@@ -129,6 +129,18 @@ PIECES = ("uid long, start long, length long, ids_crc32 long, doc_tokens long, s
 MERGED = 1 << 62
 
 
+def _documents(uids: list, parts: Iterator[tuple[int, bytes]], end: bytes) -> Iterator[tuple[int, bytes]]:
+    """(identifier, whole text's identifiers and the end mark) from parts of texts."""
+    row, held = 0, []
+    for r, ids in parts:
+        if r != row:
+            yield uids[row], b"".join([*held, end])
+            row, held = r, []
+        held.append(ids)
+    if uids:
+        yield uids[row], b"".join([*held, end])
+
+
 def _pack_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int,
                with_ids: bool) -> Iterator[pa.RecordBatch]:
     """(uid, text, task) -> pieces; those of the last open window keep their ids."""
@@ -139,20 +151,19 @@ def _pack_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size:
             continue
         task = batch.column(2)[0].as_py()
         held = 0
-        for uid, ids in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1))):
-            ids += end
-            n = len(ids) // 4
-            piece, whole = ((uid, n), 0, n, ids), n // size
-            for _ in range(whole):
-                head, piece = cut(piece, size)
-                packer.closed.append([head])
-            if piece:
-                packer.add([piece], piece[2])
-            held += len(ids)
-            if held > FLUSH:
-                yield _rows(packer.closed, (task << 40) + number, with_ids)
-                number += len(packer.closed)
-                packer.closed, held = [], 0
+        for uid, ids in _documents(batch.column(0).to_pylist(), encode.encode_all(batch.column(1)), end):
+            n, data = len(ids) // 4, memoryview(ids)
+            whole = n - n % size
+            for at in range(0, whole, size):
+                packer.closed.append([((uid, n), at, size, data[4 * at:4 * (at + size)])])
+                held += 4 * size
+                if held > FLUSH:
+                    yield _rows(packer.closed, (task << 40) + number, with_ids)
+                    number += len(packer.closed)
+                    packer.closed, held = [], 0
+            if whole < n:  # a copy, so that an open window does not hold the whole text
+                packer.add([((uid, n), whole, n - whole, ids[4 * whole:])], n - whole)
+                held += 4 * (n - whole)
     rest = packer.finish()
     yield _rows(packer.closed, (task << 40) + number, with_ids)
     if rest:

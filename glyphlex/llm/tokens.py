@@ -8,13 +8,16 @@ import re
 import numpy as np
 import pyarrow as pa
 
-#: Most entries of each of a worker's two caches; a cache starts anew beyond that.
-CACHE_ENTRIES = 600_000
+#: Entries of a worker's cache of pieces, which starts anew beyond that, and of each
+#: half of its cache of words: the one in use and the one before it.  Longer pieces are
+#: not kept, so the caches are bounded in bytes: some 90 MB in all for usual words.
+PIECES, WORDS, LONGEST = 250_000, 250_000, 64
 #: Text bytes whose new words are encoded together, and words of one call.
 GROUP_BYTES, JOINED = 1 << 20, 500
 
+_SPACE = re.compile(rb"[ \t\n\r\v\f]")
 #: A run of plain or Latin-1 letters, then marks without an apostrophe.
-_WORD = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)\Z")
+_WORD = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++)([!-&(-/:-@\[-`{-~]*+)\Z")
 
 
 def tokenizer_path(name: str) -> str:
@@ -22,9 +25,9 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class WordEncoder(dict):
-    """bytes without white space -> their identifiers as little-endian unsigned
-    32-bit numbers.
+class WordEncoder:
+    """Identifiers of texts as little-endian unsigned 32-bit numbers.  ``pieces`` has
+    those of bytes without white space.
 
     For tokenizers that drop white space, lower-case, cut words from marks and mark
     the last token of a word: identifiers of a text are then those of its
@@ -33,38 +36,51 @@ class WordEncoder(dict):
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {b"": b""}
+        self.forget()
 
-    def __missing__(self, piece: bytes) -> bytes:
-        return self.whole(piece.decode())
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.pieces: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}  # the half that was in use before
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def learn(self, pieces: set[bytes]) -> None:
-        """Identifiers of new pieces."""
-        cut, words = [], set()
+        """Identifiers of new pieces; new words are encoded many at a time."""
+        if len(self.words) > WORDS:
+            self.before, self.words = self.words, {}
+        words, before, found, match = self.words, self.before, self.pieces, _WORD.match
+        waiting, new, marks_of = [], set(), {b"": b""}
         for piece in pieces:
-            m = _WORD.match(piece)
+            ids = words.get(piece)
+            if ids is not None:
+                found[piece] = ids
+                continue
+            m = match(piece) if len(piece) <= LONGEST else None
             if not m:
-                self[piece] = self.whole(piece.decode())
+                found[piece] = self.whole(piece.decode())
                 continue
             word, marks = m.groups()
-            cut.append((piece, word, marks))
-            if word not in self.words:
-                words.add(word)
-            if marks not in self.marks:
-                self.marks[marks] = self.whole(marks.decode())
-        new = list(words)
+            if marks not in marks_of:
+                marks_of[marks] = self.whole(marks.decode())
+            ids = words.get(word)
+            if ids is None and word in before:
+                ids = words[word] = before[word]
+            if ids is None:
+                new.add(word)
+                waiting.append((piece, word, marks))
+            else:
+                found[piece] = ids + marks_of[marks] if marks else ids
+        new = list(new)
         for k in range(0, len(new), JOINED):
             part = new[k:k + JOINED]
             got = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
@@ -72,40 +88,55 @@ class WordEncoder(dict):
             ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
             if len(ends) != len(part):
                 raise ValueError("the tokenizer does not end every word with one marked token")
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(part, ends.tolist()):
-                self.words[word] = raw[at:end]
-                at = end
-        for piece, word, marks in cut:
-            self[piece] = self.words[word] + self.marks[marks] if marks else self.words[word]
+            raw, ends = ids.tobytes(), ends.tolist()
+            words.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+        found.update((piece, words[word] + marks_of[marks] if marks else words[word])
+                     for piece, word, marks in waiting)
 
     def encode_all(self, texts: pa.Array):
-        """One buffer of identifiers for each text; null counts as empty."""
-        group: list[bytes | list[bytes]] = []
-        held = 0
+        """(row, identifiers) of all texts in order, a long one in several parts that
+        are cut at white space; null counts as empty."""
+        group: list[tuple[int, bytes | list[bytes]]] = []
+        held = row = 0
         for t in texts.cast(pa.large_binary()):
             b = t.as_buffer()
             text = b.to_pybytes() if b is not None else b""
-            held += len(text)
             # special tokens are written in exact case, so such a text is encoded whole
-            group.append(text if b"<|" in text else text.lower().split())
-            if held >= GROUP_BYTES:
-                yield from self._group(group)
-                group, held = [], 0
+            parts = [text] if b"<|" in text else (p.lower().split() for p in _parts(text))
+            for part in parts:
+                group.append((row, part))
+                held += min(len(text), GROUP_BYTES)
+                if held >= GROUP_BYTES:
+                    yield from self._group(group)
+                    group, held = [], 0
+            row += 1
         yield from self._group(group)
 
     def _group(self, group: list):
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        new = set().union(*(x for x in group if isinstance(x, list)))
-        new = {x for x in new if x not in self}
+        """(row, identifiers) of parts of texts, in order."""
+        if len(self.pieces) > PIECES:
+            self.pieces = {}
+        pieces = self.pieces
+        new = set().union(*(x for _, x in group if isinstance(x, list))).difference(pieces)
         if new:
             self.learn(new)
-        for x in group:
-            yield (b"".join(map(self.__getitem__, x)) if isinstance(x, list)
-                   else self.whole(x.decode()))
+        for row, x in group:
+            yield row, b"".join(map(pieces.__getitem__, x)) if isinstance(x, list) else self.whole(x.decode())
+        for piece in new:
+            if len(piece) > LONGEST:
+                del pieces[piece]
+
+
+def _parts(text: bytes):
+    """Pieces of about GROUP_BYTES, cut at white space (all of it is an ASCII byte)."""
+    at = 0
+    while len(text) - at > GROUP_BYTES:
+        end = _SPACE.search(text, at + GROUP_BYTES)
+        if not end:
+            break
+        yield text[at:end.start()]
+        at = end.end()
+    yield text[at:] if at else text
 
 
 _encoders: dict[str, WordEncoder] = {}

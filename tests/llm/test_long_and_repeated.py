@@ -89,18 +89,18 @@ def test_parts_of_a_long_text_give_its_tokens(monkeypatch):
     texts = [f"{SENTENCE}\t{SENTENCE.upper()}\n don't É中文!? " * 30, None, "", "x" * 700, " <|endoftext|> y " * 50]
     want = [encoder.whole(t or "") for t in texts]
     monkeypatch.setattr(tokens, "GROUP_BYTES", 64)
-    monkeypatch.setattr(tokens, "CACHE_BYTES", 3000)
-    monkeypatch.setattr(tokens, "PIECE_BYTES", 3000)
+    monkeypatch.setattr(tokens, "WORDS", 10)
+    monkeypatch.setattr(tokens, "PIECES", 10)
     encoder.forget()
     got = defaultdict(bytes)
     for _ in range(3):
         got.clear()
         for row, ids in encoder.encode_all(pa.array(texts)):
             got[row] += ids
-            assert encoder.held < 20000 and encoder.words_held < 20000
+            assert len(encoder.pieces) < 60 and len(encoder.words) < 60
         assert [got[k] for k in range(len(texts))] == want
     encoder.forget()
-    assert not encoder and not encoder.words and not encoder.before
+    assert not encoder.pieces and not encoder.words and not encoder.before
 
 
 SCRIPTS = {
