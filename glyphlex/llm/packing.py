@@ -164,6 +164,7 @@ def _pack_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size:
             if whole < n:  # a copy, so that an open window does not hold the whole text
                 packer.add([((uid, n), whole, n - whole, ids[4 * whole:])], n - whole)
                 held += 4 * (n - whole)
+    encode.end_task()
     rest = packer.finish()
     yield _rows(packer.closed, (task << 40) + number, with_ids)
     if rest:

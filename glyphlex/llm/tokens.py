@@ -11,7 +11,7 @@ import pyarrow as pa
 #: Entries of a worker's cache of pieces, which starts anew beyond that, and of each
 #: half of its cache of words: the one in use and the one before it.  Longer pieces are
 #: not kept, so the caches are bounded in bytes: some 90 MB in all for usual words.
-PIECES, WORDS, LONGEST = 250_000, 250_000, 64
+PIECES, WORDS, LONGEST = 250_000, 200_000, 64
 #: Text bytes whose new words are encoded together, and words of one call.
 GROUP_BYTES, JOINED = 1 << 20, 500
 
@@ -50,6 +50,10 @@ class WordEncoder:
         self.words: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}  # the half that was in use before
 
+    def end_task(self) -> None:
+        """Give up the pieces; the worker keeps the words, which are dear to encode."""
+        self.pieces = {}
+
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()

@@ -70,7 +70,7 @@ class LongText:
     def encode_all(self, texts):
         yield 0, np.arange(self.n, dtype="<u4").tobytes()
 
-    def forget(self):
+    def end_task(self):
         pass
 
 
