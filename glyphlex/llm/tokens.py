@@ -8,7 +8,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-#: Entries of a worker's cache of pieces, which starts anew beyond that, and of each
+#: Entries of a worker's cache of pieces, which beyond that keeps those of the texts at
+#: hand, and of each
 #: half of its cache of words: the one in use and the one before it.  Longer pieces are
 #: not kept, so the caches are bounded in bytes: some 90 MB in all for usual words.
 PIECES, WORDS, LONGEST = 250_000, 200_000, 64
@@ -16,8 +17,10 @@ PIECES, WORDS, LONGEST = 250_000, 200_000, 64
 GROUP_BYTES, JOINED = 1 << 20, 500
 
 _SPACE = re.compile(rb"[ \t\n\r\v\f]")
-#: A run of plain or Latin-1 letters, then marks without an apostrophe.
-_WORD = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++)([!-&(-/:-@\[-`{-~]*+)\Z")
+#: A run of plain or Latin-1 letters, and the marks that may follow it: ASCII marks
+#: without the apostrophe.
+_WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++\Z")
+_MARKS = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
 def tokenizer_path(name: str) -> str:
@@ -62,23 +65,19 @@ class WordEncoder:
         """Identifiers of new pieces; new words are encoded many at a time."""
         if len(self.words) > WORDS:
             self.before, self.words = self.words, {}
-        words, before, found, match = self.words, self.before, self.pieces, _WORD.match
+        words, before, found, is_word = self.words, self.before, self.pieces, _WORD.match
         waiting, new, marks_of = [], set(), {b"": b""}
         for piece in pieces:
-            ids = words.get(piece)
-            if ids is not None:
-                found[piece] = ids
-                continue
-            m = match(piece) if len(piece) <= LONGEST else None
-            if not m:
+            word = piece.rstrip(_MARKS)
+            ids = words.get(word)
+            if ids is None and word in before:
+                ids = words[word] = before[word]
+            if ids is None and (len(piece) > LONGEST or not is_word(word)):
                 found[piece] = self.whole(piece.decode())
                 continue
-            word, marks = m.groups()
+            marks = piece[len(word):]
             if marks not in marks_of:
                 marks_of[marks] = self.whole(marks.decode())
-            ids = words.get(word)
-            if ids is None and word in before:
-                ids = words[word] = before[word]
             if ids is None:
                 new.add(word)
                 waiting.append((piece, word, marks))
@@ -118,10 +117,11 @@ class WordEncoder:
 
     def _group(self, group: list):
         """(row, identifiers) of parts of texts, in order."""
-        if len(self.pieces) > PIECES:
-            self.pieces = {}
+        used = set().union(*(x for _, x in group if isinstance(x, list)))
+        if len(self.pieces) > PIECES:  # those in use again stay
+            self.pieces = {p: self.pieces[p] for p in used.intersection(self.pieces)}
         pieces = self.pieces
-        new = set().union(*(x for _, x in group if isinstance(x, list))).difference(pieces)
+        new = used.difference(pieces)
         if new:
             self.learn(new)
         for row, x in group:
