@@ -1,7 +1,11 @@
 """Training-table jobs.
 
-All of it is narrow projection, filters and aggregations; the only shuffle of texts
-is the duplicate removal (a ``groupBy`` on the pair, partially aggregated).
+All of it is narrow projection, filters and aggregations; the duplicate removal shuffles
+digests and the texts that repeat.
+
+``observation`` arguments take a ``pyspark.sql.Observation``: the job's counters, known
+once its result has been written, without a pass of their own.  (Below a shuffle, a stage
+that is run again after a lost executor may be counted again; above it, it is not.)
 """
 
 from __future__ import annotations
@@ -9,11 +13,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.symbols import GRAMMAR, Symbols, symbol_count
 from ..functions.text import add_prefix, chars, normalize_text, remove_spaces
+from .equal_rows import group_equal
 
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 LABEL_PAD = -100
@@ -26,22 +31,31 @@ PRIVATE, PRIVATE_MAX, NO_CHARACTER = 0xF0000, 60_000, "\uffff"
 
 def prepare_pairs(raw: DataFrame, prefix: str = "", do_filter: bool = True,
                   full2half: bool = True, row_id: str = "row_id",
-                  symbols: Symbols = GRAMMAR) -> DataFrame:
+                  symbols: Symbols = GRAMMAR, observation: Observation | None = None) -> DataFrame:
     """(row_id, source_text, target_text) ready for mining and training.
 
     prefix the source (C3), normalise both sides (E3), remove spaces from the
     target only (E4), then keep changed pairs (D1) whose source has a symbol (D2).
-    Null texts are dropped at the door.
+    Null texts are dropped at the door.  With ``observation`` G10's counts come from
+    the same pass.
     """
-    base = raw.select(F.col(row_id).alias("row_id"), "source_text", "target_text").where(
-        F.col("source_text").isNotNull() & F.col("target_text").isNotNull())
+    base = raw.select(F.col(row_id).alias("row_id"), "source_text", "target_text")
+    nonnull = F.col("source_text").isNotNull() & F.col("target_text").isNotNull()
+    if observation is None:
+        base = base.where(nonnull)
     out = base.select(
         "row_id",
         normalize_text(add_prefix(F.col("source_text"), prefix), full2half).alias("source_text"),
         remove_spaces(normalize_text(F.col("target_text"), full2half)).alias("target_text"))
-    if do_filter:
-        out = out.where((F.col("source_text") != F.col("target_text"))
-                        & (symbol_count("source_text", symbols) > 0))
+    changed = F.col("source_text") != F.col("target_text")
+    kept = changed & (symbol_count("source_text", symbols) > 0)
+    if observation is not None:  # normalised text is null where the text is
+        out = out.withColumn("_gl_kept", kept).observe(
+            observation, F.count(F.lit(1)).alias("n_raw"), F.count_if(nonnull).alias("n_nonnull"),
+            F.count_if(changed).alias("n_changed"), F.count_if("_gl_kept").alias("n_kept"))
+        out = out.where("_gl_kept" if do_filter else nonnull).drop("_gl_kept")
+    elif do_filter:
+        out = out.where(kept)
     return out
 
 
@@ -60,9 +74,14 @@ def funnel(raw: DataFrame, prefix: str = "", full2half: bool = True,
 
 
 def drop_duplicate_pairs(df: DataFrame, cols: Sequence[str] = ("source_text", "target_text"),
-                         row_id: str = "row_id") -> DataFrame:
-    """O2: keep the first row (lowest ``row_id``) of every duplicate pair."""
-    return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(row_id, *cols)
+                         row_id: str = "row_id", observation: Observation | None = None) -> DataFrame:
+    """O2: keep the first row (lowest ``row_id``) of every duplicate pair.  With
+    ``observation``: ``n_rows`` before and ``n_pairs`` after."""
+    out = group_equal(df, cols, row_id, n="_gl_n")
+    if observation is not None:
+        out = out.observe(observation, F.coalesce(F.sum("_gl_n"), F.lit(0)).alias("n_rows"),
+                          F.count(F.lit(1)).alias("n_pairs"))
+    return out.select(row_id, *cols)
 
 
 def _split_mark(keyed: DataFrame, n_valid: int, row_id: str) -> tuple[str, int] | None:
@@ -236,10 +255,12 @@ def truncation_report(df: DataFrame, cols: Sequence[str], max_len: int, epochs:
 
 
 def training_table(raw: DataFrame, dictionary: DataFrame, prefix: str = "",
-                   row_id: str = "row_id", symbols: Symbols = GRAMMAR) -> DataFrame:
+                   row_id: str = "row_id", symbols: Symbols = GRAMMAR,
+                   observation: Observation | None = None) -> DataFrame:
     """P10 tail: demojize the prepared source (E8), remove its spaces (E4),
-    drop duplicate pairs (O2).  ``raw`` must already be prepared (P1)."""
+    drop duplicate pairs (O2).  ``raw`` must already be prepared (P1).  With
+    ``observation`` O2's counts come from the same pass."""
     from .substitute import demojize
     d = demojize(raw, "source_text", dictionary, "_gl_src", row_id=row_id, symbols=symbols)
     d = d.select(row_id, remove_spaces("_gl_src").alias("source_text"), "target_text")
-    return drop_duplicate_pairs(d, row_id=row_id)
+    return drop_duplicate_pairs(d, row_id=row_id, observation=observation)

@@ -3,14 +3,19 @@
 A dictionary is a DataFrame ``(key string, value string, rank long)``; ``rank``
 is the insertion order that the reference keeps in its ordered JSON objects.
 Merges and rankings are aggregations and dense indexes, never driver loops.
+
+Inside a chain of merges ``rank`` may instead be an order key: an array of numbers
+(priority, then the ranks of the steps before), compared from the left.  A step with
+``ranked=False`` returns one, and the last step numbers the keys once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.symbols import GRAMMAR, Symbols, extract_symbols, is_symbol
 from ..functions.text import CJK_FIRST, CJK_OR_ALNUM_FIRST, placeholder_digit, strip_and_wrap
@@ -37,33 +42,47 @@ def from_mapping(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
 
 def normalize(df: DataFrame, key: str = "key", value: str = "value",
               rank: str = "rank") -> DataFrame:
-    """Project any (key, value, rank) table onto the dictionary schema; drop empty keys."""
+    """Project any (key, value, rank) table onto the dictionary schema; drop empty keys.
+    An order key stays one."""
+    kind = "array<long>" if isinstance(df.schema[rank].dataType, ArrayType) else "long"
     return (df.select(F.col(key).cast("string").alias("key"),
                       F.col(value).cast("string").alias("value"),
-                      F.col(rank).cast("long").alias("rank"))
+                      F.col(rank).cast(kind).alias("rank"))
             .where(F.col("key").isNotNull() & (F.col("key") != "")))
 
 
+def order_key(d: DataFrame, first: Column) -> Column:
+    """The order key of ``first``, then the dictionary's rank or order key."""
+    rank = F.col("rank")
+    rest = rank if isinstance(d.schema["rank"].dataType, ArrayType) else F.array(rank)
+    return F.concat(F.array(first.cast("long")), rest)
+
+
 def merge(dicts: Sequence[DataFrame], policy: str = "last",
-          by_length: bool = False) -> DataFrame:
+          by_length: bool = False, ranked: bool = True) -> DataFrame:
     """precedence merge of ordered dictionaries.
 
     ``last``: later dictionaries override the value (``dict.update``); a key keeps
     the position of its first insertion.  ``first``: insert-if-absent.
     ``by_length`` fuses the I2 re-rank (stable sort by key length, descending).
+    Without ``ranked`` the rank is an order key, and nothing is sorted.
     """
     if policy not in ("last", "first"):
         raise ValueError("policy must be 'last' or 'first'")
     tagged = None
     for prio, d in enumerate(dicts):
-        t = normalize(d).withColumn("prio", F.lit(prio))
+        t = normalize(d)
+        t = t.withColumn("pos", order_key(t, F.lit(prio))).drop("rank")
         tagged = t if tagged is None else tagged.unionByName(t)
     pick = F.max_by if policy == "last" else F.min_by
     # a dictionary never holds a key twice; if an input does, the later rank wins
-    order = F.struct(F.col("prio"), F.col("rank"))
     merged = tagged.groupBy("key").agg(
-        pick(F.col("value"), order).alias("value"),
-        F.min(order).alias("pos"))
+        pick(F.col("value"), F.col("pos")).alias("value"),
+        F.min("pos").alias("pos"))
+    if not ranked:
+        length = F.array(-F.length("key").cast("long"))
+        return merged.select("key", "value", (F.concat(length, "pos") if by_length else F.col("pos"))
+                             .alias("rank"))
     order = [F.desc(F.length("key")), F.col("pos")] if by_length else [F.col("pos")]
     return dense_index(merged, order, "rank").select("key", "value", "rank")
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from .equal_rows import group_equal
 from .matching import Matcher
 
 POPULAR_FROM = 200  # the diff's popular-character rule applies from this length of b
@@ -144,19 +145,17 @@ def mine_pairs(df: DataFrame, source: str = "source_text", target: str = "target
     Rows whose texts are equal cannot yield a pair and never reach Python.
     With ``dedupe`` every distinct (source, target) is diffed once: the diff
     depends only on the two texts, so ``row_id`` is the first row holding them
-    and ``weight`` the number of such rows (the aggregation is partial, so
-    repeated lines collapse before the shuffle).  Counts must sum ``weight``.
+    and ``weight`` the number of such rows.  Counts must sum ``weight``.
     """
     work = (df.select(F.col(row_id).cast("long").alias("row_id"),
                       F.col(source).alias("a"), F.col(target).alias("b"))
             .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))))
     if dedupe:
-        # partial aggregation collapses repeated pairs map-side; the distinct
-        # pairs are then hash-spread over an explicit partition count, which AQE
-        # never coalesces, so the CPU-bound Python stage keeps its parallelism
-        work = (work.groupBy("a", "b").agg(F.min("row_id").alias("row_id"),
-                                           F.count(F.lit(1)).alias("w"))
-                .repartition(python_partitions(df.sparkSession), "a", "b"))
+        # repeated pairs meet by digest; the distinct pairs are then hash-spread
+        # over an explicit partition count, which AQE never coalesces, so the
+        # CPU-bound Python stage keeps its parallelism
+        work = (group_equal(work, ("a", "b"), "row_id", n="w")
+                .repartition(python_partitions(df.sparkSession), "row_id"))
     else:
         work = work.withColumn("w", F.lit(1).cast("long"))
 

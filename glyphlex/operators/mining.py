@@ -12,8 +12,9 @@ Pairs come from the Arrow diff stage; everything after it is aggregation:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.symbols import GRAMMAR, Symbols, is_symbol
 from ..functions.text import remove_spaces
@@ -46,27 +47,42 @@ def texts_per_key(pairs: DataFrame) -> DataFrame:
 
 
 def key_summary(counts: DataFrame) -> DataFrame:
-    """Per key: top text (H2), its count, first-seen position, number of texts."""
+    """Per key: top text (H2), its count, first-seen position, number of texts and of pairs."""
     best = F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("first").alias("f"),
                           F.col("text").alias("t")))
     return (counts.groupBy("key")
             .agg(best.alias("top"), F.min("first").alias("key_first"),
-                 F.count(F.lit(1)).alias("n_texts"))
+                 F.count(F.lit(1)).alias("n_texts"), F.sum("cnt").alias("n_pairs"))
             .select("key", F.col("top.t").alias("value"), (-F.col("top.neg")).alias("cnt"),
-                    "key_first", "n_texts"))
+                    "key_first", "n_texts", "n_pairs"))
 
 
 def rank_by_length(df: DataFrame, order_col: str, key: str = "key",
-                   out: str = "rank") -> DataFrame:
-    """rank = order by key length (code points) descending, then ``order_col``."""
+                   out: str = "rank", ranked: bool = True) -> DataFrame:
+    """rank = order by key length (code points) descending, then ``order_col``;
+    without ``ranked`` an order key (then ``order_col`` is a first place (r, s))."""
+    if not ranked:
+        return df.withColumn(out, _places(order_col, -F.length(key)))
     return dense_index(df, [F.desc(F.length(key)), F.col(order_col)], out)
 
 
-def common_map(counts: DataFrame, min_support: int = 2) -> DataFrame:
+def _places(first: str, *before):
+    """An order key: some numbers, then a first place (r, s)."""
+    return F.array(*[c.cast("long") for c in (*before, F.col(f"{first}.r"), F.col(f"{first}.s"))])
+
+
+def common_map(counts: DataFrame, min_support: int = 2, ranked: bool = True,
+               observation: Observation | None = None) -> DataFrame:
     """H2 + D4 + I2: (key, value, cnt, key_first, rank) for keys whose top text
-    has count >= ``min_support``; rank by key length desc, then first seen."""
-    kept = key_summary(counts).where(F.col("cnt") >= min_support)
-    return rank_by_length(kept, "key_first")
+    has count >= ``min_support``; rank by key length desc, then first seen.  With
+    ``observation``: G11's ``n_mined``, ``n_pairs``, ``n_kept`` from the same pass."""
+    keys = key_summary(counts)
+    if observation is not None:
+        keys = keys.observe(observation, F.count(F.lit(1)).alias("n_mined"),
+                            F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n_pairs"),
+                            F.count_if(F.col("cnt") >= min_support).alias("n_kept"))
+    kept = keys.where(F.col("cnt") >= min_support).drop("n_pairs")
+    return rank_by_length(kept, "key_first", ranked=ranked)
 
 
 def first_texts(counts: DataFrame, k: int = 3) -> DataFrame:
@@ -93,32 +109,45 @@ def ambiguous_map(counts: DataFrame, k: int = 3, min_count: int = 2) -> DataFram
 
 def mine_lexicon(df: DataFrame, source: str = "source_text", target: str = "target_text",
                  row_id: str = "row_id", min_support: int = 2,
-                 persist: bool = True) -> dict[str, DataFrame]:
+                 persist: bool = True, ranked: bool = True, report: bool = False
+                 ) -> dict[str, DataFrame]:
     """{'pairs', 'counts', 'common', 'ambiguous'} from raw (unnormalised) pairs.
 
     With ``persist`` the pair counts (the output of the Python diff, already
     aggregated) and the common map are written once to the shared checkpoint
     folder, so later jobs and range-partition sampling never re-run the diff.
+    Without ``ranked`` the common map's rank is an order key.  With ``report`` the
+    ambiguous map is written too, and 'summary' has G11 as observed while the maps
+    were written.
     """
+    if report and not persist:
+        raise ValueError("the report is observed while the maps are written")
+    seen, amb_seen = (Observation(), Observation()) if report else (None, None)
     pairs = mined_pairs(df, source, target, row_id, clean_keys=True)
     counts = pair_counts(pairs)
     if persist:
         counts = materialize(counts, "pair-counts")
-    common = common_map(counts, min_support)
+    common = common_map(counts, min_support, ranked, seen)
     if persist:
         common = materialize(common, "common-map")
-    return {"pairs": pairs, "counts": counts, "common": common,
-            "ambiguous": ambiguous_map(counts)}
+    out = {"pairs": pairs, "counts": counts, "common": common, "ambiguous": ambiguous_map(counts)}
+    if report:
+        out["ambiguous"] = materialize(out["ambiguous"].observe(
+            amb_seen, F.count_if(F.col("text_rank") == 0).alias("n_ambiguous")), "ambiguous-map")
+        values = {**seen.get, **amb_seen.get}
+        out["summary"] = df.sparkSession.createDataFrame(
+            list(values.items()), "metric string, value long")
+    return out
 
 
 def mine_unique(df: DataFrame, source: str = "source_text", target: str = "target_text",
                 row_id: str = "row_id", persist: bool = True,
-                symbols: Symbols = GRAMMAR) -> DataFrame:
+                symbols: Symbols = GRAMMAR, ranked: bool = True) -> DataFrame:
     """P3 (+G5, D7): keys mined from normalised pairs without key clean-up; a key
     is kept when it is exactly one symbol with exactly one distinct text.
 
     Returns (key, value, n_texts, is_symbol, unique, rank) for every mined key,
-    rank = first-seen order of the key.
+    rank = first-seen order of the key (without ``ranked`` its order key).
     """
     pairs = mined_pairs(df, source, target, row_id, clean_keys=False)
     per_key = (pairs.groupBy("key")
@@ -131,12 +160,16 @@ def mine_unique(df: DataFrame, source: str = "source_text", target: str = "targe
     flagged = per_key.select("key", "value", "n_texts", "key_first",
                              is_symbol("key", symbols).alias("is_symbol"))
     flagged = flagged.withColumn("unique", F.col("is_symbol") & (F.col("n_texts") == 1))
+    if not ranked:
+        return flagged.withColumn("rank", _places("key_first")).drop("key_first")
     return dense_index(flagged, ["key_first"], "rank").drop("key_first")
 
 
 def unique_dictionary(mined: DataFrame) -> DataFrame:
     """The D7 survivors of ``mine_unique`` as a dictionary (key, value, rank)."""
     kept = mined.where("unique")
+    if isinstance(mined.schema["rank"].dataType, ArrayType):
+        return kept.select("key", "value", "rank")
     return dense_index(kept, ["rank"], "r2").select("key", "value", F.col("r2").alias("rank"))
 
 

@@ -3,6 +3,7 @@ training-table jobs, encodings and I/O round trips (see ``catalog`` for part 1).
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -13,6 +14,7 @@ from ..session import materialize
 from . import fixtures as fx
 from .catalog import (COMMON_CTE, CUSTOM_CTE, INJ_CTE, MINED_CTE, PREDICT_DICT_CTE, SPECIAL_CTE,
                       _lexicon, _occ_cte, register, rule_dictionary)
+from .jobs import observed
 from .oracle_fixtures import PAT, q, with_fixtures
 
 # --- fixed values: the oracle's own width and punctuation tables -------------
@@ -155,7 +157,10 @@ SELECT count(*) AS n_raw, count(*) AS n_nonnull,
                         AND len(regexp_extract_all(source_text, {q(PAT)}, 0)) > 0) AS n_kept
 FROM prep"""))
 def q_g10(spark, sf):
-    return dataset.funnel(fx.raw_pairs(spark, sf))
+    """Observed while the prepared pairs are written."""
+    counts = Observation()
+    materialize(dataset.prepare_pairs(fx.raw_pairs(spark, sf), observation=counts), "prepared-pairs")
+    return observed(spark, counts)
 
 
 @register("o2_drop_duplicate_pairs", with_fixtures(["PAIRS"], _P1_CTE, body="""
@@ -409,9 +414,10 @@ def q_p15(spark, sf):
 def _train_dictionary(spark, sf):
     """P8 for the fixture: the mined common map stands in for the speech labels,
     P3's unique map and the custom symbols override it."""
-    prepared = dataset.prepare_pairs(fx.raw_pairs(spark, sf))
-    unique = mining.unique_dictionary(mining.mine_unique(prepared))
-    labels = _lexicon(spark, sf)["common"].select("key", "value", "rank")
+    raw = materialize(fx.raw_pairs(spark, sf), "raw-pairs")
+    prepared = dataset.prepare_pairs(raw)
+    unique = mining.unique_dictionary(mining.mine_unique(prepared, ranked=False))
+    labels = mining.mine_lexicon(raw, ranked=False)["common"].select("key", "value", "rank")
     return prepared, dicts.build_dictionary(None, labels, unique,
                                             dicts.from_mapping(spark, dicts.CUSTOM_SYMBOLS))
 
@@ -476,19 +482,7 @@ def q_p11(spark, sf):
     return r.select("id", "decision", "prediction")
 
 
-@register("g12_decision_counters", with_fixtures(["RECON"], body="""
-SELECT count(*) FILTER (WHERE rule = model) AS same,
-       count(*) FILTER (WHERE rule <> model AND contains(rule, '猫')) AS use_map,
-       count(*) FILTER (WHERE rule <> model AND NOT contains(rule, '猫')) AS use_model
-FROM recon"""))
-def q_g12(spark, sf):
-    r = reconcile.reconcile(fx.reconcile_inputs(spark, sf), _symbol_keys(spark, sf))
-    return reconcile.decision_counters(r).drop("too_long")
-
-
-@register("d10_too_long_flag", with_fixtures(["RECON"], _occ_cte(), INJ_CTE, MINED_CTE, COMMON_CTE,
-                                             body=f"""
-SELECT decision, count(*) FILTER (WHERE too_long) AS n_too_long, count(*) AS n_rows FROM (
+_DECIDED = f"""decided AS (
   SELECT CASE WHEN rule = model THEN 'equal' WHEN contains(rule, '猫') THEN 'rule'
               ELSE 'model' END AS decision,
          rule <> model AND
@@ -499,8 +493,28 @@ SELECT decision, count(*) FILTER (WHERE too_long) AS n_too_long, count(*) AS n_r
                   WHERE regexp_full_match(key, {q(PAT)})),
                  lambda acc, k: replace(acc, k, ''), replace(raw, ' ', '')),
                  {q(NOT_CJK_ALNUM)}, '', 'g')) AS too_long
-  FROM recon)
-GROUP BY decision"""))
+  FROM recon)"""
+
+
+@register("g12_decision_counters", with_fixtures(["RECON"], _occ_cte(), INJ_CTE, MINED_CTE,
+                                                 COMMON_CTE, _DECIDED, body="""
+SELECT count(*) FILTER (WHERE decision = 'equal') AS same,
+       count(*) FILTER (WHERE decision = 'rule') AS use_map,
+       count(*) FILTER (WHERE decision = 'model') AS use_model,
+       count(*) FILTER (WHERE too_long) AS too_long
+FROM decided"""))
+def q_g12(spark, sf):
+    """Observed while the reconciled rows are written."""
+    counts = Observation()
+    materialize(reconcile.reconcile(fx.reconcile_inputs(spark, sf), _symbol_keys(spark, sf),
+                                    observation=counts), "reconciled")
+    return observed(spark, counts)
+
+
+@register("d10_too_long_flag", with_fixtures(["RECON"], _occ_cte(), INJ_CTE, MINED_CTE, COMMON_CTE,
+                                             _DECIDED, body="""
+SELECT decision, count(*) FILTER (WHERE too_long) AS n_too_long, count(*) AS n_rows
+FROM decided GROUP BY decision"""))
 def q_d10(spark, sf):
     r = reconcile.reconcile(fx.reconcile_inputs(spark, sf), _symbol_keys(spark, sf))
     return r.groupBy("decision").agg(F.count_if("too_long").alias("n_too_long"),

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.symbols import GRAMMAR, Symbols
@@ -29,6 +29,14 @@ from ..functions.text import align_punct
 from ..operators import dataset, mining, pseudo, reconcile, substitute, vote
 from ..operators import dictionaries as dicts
 from ..operators.labels import first_alias_labels
+from ..session import materialize
+
+
+def observed(spark, observation: Observation) -> DataFrame:
+    """One row: the counters of a job whose result has been written."""
+    values = observation.get
+    return spark.createDataFrame([tuple(int(v) for v in values.values())],
+                                 ", ".join(f"{k} long" for k in values))
 
 
 def _empty_dict(spark) -> DataFrame:
@@ -62,15 +70,22 @@ def rule_baseline(train: DataFrame, test: DataFrame, annotations: DataFrame | No
 def training_table(train: DataFrame, speech_labels: DataFrame | None = None,
                    library: DataFrame | None = None, custom: DataFrame | None = None,
                    prefix: str = "", symbols: Symbols = GRAMMAR) -> dict[str, DataFrame]:
-    """Entry 2: P1 -> P3 -> P8 -> E8 -> E4 -> O2, plus the G9 length profile."""
+    """Entry 2: P1 -> P3 -> P8 -> E8 -> E4 -> O2, plus the G9 length profile.
+
+    The prepared pairs and the table are written once; 'funnel' (G10) and 'duplicates'
+    (rows before and pairs after O2) have the counts observed in those passes."""
     spark = train.sparkSession
-    prepared = dataset.prepare_pairs(train, prefix=prefix, symbols=symbols)
-    unique = mining.unique_dictionary(mining.mine_unique(prepared, symbols=symbols))
+    funnel, repeats = Observation(), Observation()
+    prepared = materialize(dataset.prepare_pairs(train, prefix=prefix, symbols=symbols,
+                                                 observation=funnel), "prepared-pairs")
+    unique = mining.unique_dictionary(mining.mine_unique(prepared, symbols=symbols, ranked=False))
     if custom is None:
         custom = dicts.from_mapping(spark, dicts.CUSTOM_SYMBOLS)
     dictionary = dicts.build_dictionary(library, speech_labels, unique, custom)
-    table = dataset.training_table(prepared, dictionary, symbols=symbols)
+    table = materialize(dataset.training_table(prepared, dictionary, symbols=symbols,
+                                               observation=repeats), "training-table")
     return {"prepared": prepared, "unique": unique, "dictionary": dictionary, "table": table,
+            "funnel": observed(spark, funnel), "duplicates": observed(spark, repeats),
             "profile": dataset.length_profile(table, ["source_text", "target_text"])}
 
 
