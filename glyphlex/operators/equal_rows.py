@@ -1,4 +1,4 @@
-"""Grouping of rows with equal texts, digests first (O2, the diff's removal of repeats).
+"""Grouping of rows with equal texts, digests first.
 
 A plain ``groupBy`` on texts shuffles every text.  Here each row's 128-bit digest is
 counted first, so only digests are shuffled.  Digests that repeat are marked in a bit
