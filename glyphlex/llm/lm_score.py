@@ -4,9 +4,11 @@ A small network reads the REACH words on both sides of a place, not the word
 there, and gives every token of the vocabulary a probability.  A document's
 score is the sum of the logarithms of the probabilities of all its tokens.
 
-The vocabulary is the most frequent words of the corpus, and buckets for all
-others.  A token is two digits (a, b); the network gives P(a | context) and
-P(b | a, context), so a full distribution costs two short softmaxes.  Every text
+The vocabulary is the words of the corpus that occur OFTEN times or more, by
+frequency, and buckets for all others.  It grows with the corpus up to DIGITS**3
+tokens, so that the network stays small enough to be sent to every task.  A token is
+three digits (a, b, c); the network gives P(a | context), P(b | a, context) and
+P(c | a, b, context), so a full distribution costs three short softmaxes.  Every text
 is read once in training: in each round the tasks train on their own share of
 the texts, starting from the same weights, and Spark averages what they learnt.
 
@@ -29,37 +31,63 @@ from pyspark.sql import functions as F
 from .common import materialize, prepare
 from .wordarrays import NOT_ALNUM, Words, text_blocks
 
-#: Digits of a token (the vocabulary is its square), buckets for rare words, words
-#: read on each side, and the width of the network.
-DIGIT, BUCKETS, REACH, WIDTH = 24, 128, 2, 16
-VOCABULARY = DIGIT * DIGIT
-FREQUENT = VOCABULARY - BUCKETS - 1  # token 0 stands beyond the ends of a text
+#: Bounds of a digit (the vocabulary is its cube), buckets for rare words, occurrences
+#: that make a word a token of its own, words read on each side, width of the network.
+LEAST_DIGITS, DIGITS, BUCKETS, OFTEN, REACH, WIDTH = 8, 40, 128, 4, 4, 16
 #: Rounds (the texts are dealt to them by digest), tokens of a step, and step size.
-ROUNDS, BATCH, RATE = 2, 8192, 0.01
+ROUNDS, BATCH, RATE = 2, 4096, 0.02
+#: Tokens that a training task gets at least, where there are more tasks than cores.
+TASK_TOKENS = 16_000_000
 #: Text bytes of a block of texts whose distinct rare words are looked up at once.
 LOOKUP_BYTES = 4 << 20
-SHAPES = {"e": (2 * REACH, VOCABULARY, WIDTH), "c": (WIDTH,), "wa": (WIDTH, DIGIT), "ba": (DIGIT,),
-          "wb": (WIDTH, DIGIT), "bb": (DIGIT, DIGIT)}
 _OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
 
 
-def initial() -> np.ndarray:
-    """All weights as one vector."""
-    rng = np.random.default_rng(11)
-    return np.concatenate([(rng.standard_normal(s) * (0.3 if k in ("e", "wa", "wb") else 0)).reshape(-1)
-                           for k, s in SHAPES.items()]).astype(np.float32)
+def shapes(digit: int) -> dict[str, tuple[int, ...]]:
+    """The network's tables: words ("e", one row a token), a matrix for each offset
+    ("m"), and for the three digits weights ("w"), biases ("b") and, by the digits
+    before, factors of the context ("s")."""
+    return {"e": (digit ** 3, WIDTH), "m": (2 * REACH, WIDTH, WIDTH), "c": (WIDTH,),
+            "wa": (WIDTH, digit), "wb": (WIDTH, digit), "wc": (WIDTH, digit),
+            "sb": (digit, WIDTH), "sc": (digit ** 2, WIDTH),
+            "ba": (digit,), "bb": (digit, digit), "bc": (digit ** 2, digit)}
+
 
+def digit_of(vector: np.ndarray) -> int:
+    """The digit of a vector of weights, from its length."""
+    return next(d for d in range(2, DIGITS + 1)
+                if sum(int(np.prod(x)) for x in shapes(d).values()) == len(vector))
 
-def parts(vector: np.ndarray) -> dict[str, np.ndarray]:
+
+def parts(vector: np.ndarray, digit: int | None = None) -> dict[str, np.ndarray]:
     """Views of the vector by name."""
     out, at = {}, 0
-    for k, s in SHAPES.items():
+    for k, s in shapes(digit or digit_of(vector)).items():
         n = int(np.prod(s))
         out[k] = vector[at:at + n].reshape(s)
         at += n
     return out
 
 
+def initial(counts: np.ndarray) -> np.ndarray:
+    """All weights as one vector, for a vocabulary with these ``counts`` of its
+    tokens: without a context, a token has its share of all (each count one tenth more)."""
+    digit = round(len(counts) ** (1 / 3))
+    rng = np.random.default_rng(11)
+    spread = {"e": 0.1, "m": 0.15, "wa": 0.1, "wb": 0.1, "wc": 0.1}
+    vector = np.concatenate([(rng.standard_normal(s) * spread.get(k, 0)).reshape(-1)
+                             for k, s in shapes(digit).items()]).astype(np.float32)
+    w = parts(vector, digit)
+    w["sb"][:] = w["sc"][:] = 1
+    share = (counts + 0.1).reshape(digit, digit, digit)
+    w["ba"][:] = np.log(share.sum(axis=(1, 2)))
+    w["bb"][:] = np.log(share.sum(axis=2))
+    w["bc"][:] = np.log(share).reshape(w["bc"].shape)
+    for k in ("ba", "bb", "bc"):
+        w[k] -= w[k].max(axis=-1, keepdims=True)
+    return vector
+
+
 def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities, and the logarithms of their sums."""
     top = x.max(axis=1, keepdims=True)
@@ -69,54 +97,72 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p, (np.log(s) + top)[:, 0]
 
 
-def forward(w: dict, context: np.ndarray, token: np.ndarray):
-    """Log-probability of each token in its context, and what the slopes need."""
-    h = w["c"] + w["e"][0][context[0]]
-    for k in range(1, 2 * REACH):
-        h += w["e"][k][context[k]]
-    np.tanh(h, out=h)
-    a, b = token // DIGIT, token % DIGIT
-    za, zb = h @ w["wa"] + w["ba"], h @ w["wb"] + w["bb"][a]
+def forward(w: dict, line: np.ndarray, place: np.ndarray, token: np.ndarray | None = None):
+    """Log-probability of the token at each place of a line (or of ``token`` there) in
+    its context, and what the slopes need.  Places lie REACH or more from the ends."""
+    n, digit = len(line) - 2 * REACH, len(w["ba"])
+    token = line[place] if token is None else token
+    e = w["e"][line]
+    z = np.tile(w["c"], (n, 1))
+    for k, o in enumerate(_OFFSETS):
+        z += e[REACH + o:REACH + o + n] @ w["m"][k]
+    h = np.tanh(z[place - REACH])
+    ab, c = np.divmod(token, digit)
+    a, b = np.divmod(ab, digit)
+    hb, hc = h * w["sb"][a], h * w["sc"][ab]
     at = np.arange(len(token))
-    za_own, zb_own = za[at, a], zb[at, b]
-    pa_, la = _softmax(za)
-    pb, lb = _softmax(zb)
-    return za_own - la + zb_own - lb, (h, a, b, pa_, pb)
-
-
-def slopes(w: dict, context: np.ndarray, state) -> np.ndarray:
-    """Slope of the mean negative log-probability, as one vector."""
-    h, a, b, pa_, pb = state
-    n = len(a)
-    at = np.arange(n)
-    pa_[at, a] -= 1
-    pb[at, b] -= 1
-    pa_ /= n
-    pb /= n
-    g = np.zeros(sum(int(np.prod(s)) for s in SHAPES.values()), np.float32)
-    d = parts(g)
+    log_p, ps = 0, []
+    for own, logits in ((a, h @ w["wa"] + w["ba"]), (b, hb @ w["wb"] + w["bb"][a]),
+                        (c, hc @ w["wc"] + w["bc"][ab])):
+        own_logit = logits[at, own]
+        p, log_sum = _softmax(logits)
+        log_p = log_p + own_logit - log_sum
+        p[at, own] -= 1
+        ps.append(p)
+    return log_p, (e, h, hb, hc, a, ab, ps)
+
+
+def _sums(key: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their rows of ``x``."""
+    order = np.argsort(key, kind="stable")
+    keys = key[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(x[order], first, axis=0)
+
+
+def slopes(w: dict, line: np.ndarray, place: np.ndarray, state) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Slope of the mean negative log-probability: by name for all tables but the
+    words', and for these the tokens of the line and the slopes of their rows."""
+    e, h, hb, hc, a, ab, ps = state
+    pa_, pb, pc_ = (p / len(place) for p in ps)
+    d = {k: np.zeros_like(x) for k, x in w.items() if k != "e"}
     d["wa"][:], d["ba"][:] = h.T @ pa_, pa_.sum(axis=0)
-    d["wb"][:] = h.T @ pb
-    order = np.argsort(a, kind="stable")
-    first = np.searchsorted(a[order], np.arange(DIGIT))
-    has = np.flatnonzero(np.diff(np.append(first, n)))
-    d["bb"][has] = np.add.reduceat(pb[order], first[has], axis=0)
-    dh = (pa_ @ w["wa"].T + pb @ w["wb"].T) * (1 - h * h)
-    d["c"][:] = dh.sum(axis=0)
-    for k in range(2 * REACH):
-        cell = (context[k][:, None] * WIDTH + np.arange(WIDTH)).reshape(-1)
-        d["e"][k] = np.bincount(cell, dh.reshape(-1), VOCABULARY * WIDTH).reshape(VOCABULARY, WIDTH)
-    return g
-
-
-def tokens_of(words: Words, keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    d["wb"][:], d["wc"][:] = hb.T @ pb, hc.T @ pc_
+    dhb, dhc = pb @ w["wb"].T, pc_ @ w["wc"].T
+    for key, s, b, dx, p in ((a, "sb", "bb", dhb, pb), (ab, "sc", "bc", dhc, pc_)):
+        rows, sums = _sums(key, np.concatenate([dx * h, p], axis=1))
+        d[s][rows], d[b][rows] = sums[:, :WIDTH], sums[:, WIDTH:]
+    dh = pa_ @ w["wa"].T + dhb * w["sb"][a] + dhc * w["sc"][ab]
+    n = len(line) - 2 * REACH
+    dz = np.zeros((n, WIDTH), e.dtype)
+    dz[place - REACH] = dh * (1 - h * h)
+    d["c"][:] = dz.sum(axis=0)
+    de = np.zeros_like(e)
+    for k, o in enumerate(_OFFSETS):
+        there = slice(REACH + o, REACH + o + n)
+        de[there] += dz @ w["m"][k].T
+        d["m"][k] = e[there].T @ dz
+    return d, *_sums(line, de)
+
+
+def tokens_of(words: Words, keys: np.ndarray, rank: np.ndarray, digit: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all words of a block, with REACH zeros before, between and behind
     the texts, and the places of the words there.  ``keys``: sorted digests of the
     frequent words, ``rank``: their places by frequency."""
     rows = len(words.first) - 1
     place = np.arange(len(words.hash)) + REACH * (np.repeat(np.arange(rows), words.counts()) + 1)
     line = np.zeros(len(words.hash) + REACH * (rows + 1), np.int64)
-    token = 1 + FREQUENT + (words.hash % np.uint64(BUCKETS)).astype(np.int64)
+    token = frequent(digit) + 1 + (words.hash % np.uint64(BUCKETS)).astype(np.int64)
     if len(keys):
         at = np.minimum(np.searchsorted(keys, words.hash), len(keys) - 1)
         token = np.where(keys[at] == words.hash, 1 + rank[at], token)
@@ -124,8 +170,10 @@ def tokens_of(words: Words, keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndar
     return line, place
 
 
-def _contexts(line: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return np.stack([line[place + o] for o in _OFFSETS])
+def frequent(digit: int) -> int:
+    """Places for words of their own: all but the buckets and token 0, which stands
+    beyond the ends of a text."""
+    return digit ** 3 - BUCKETS - 1
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,74 +193,138 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return materialize(found.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
 
-def vocabulary(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted digests and ranks of the most frequent words of a table of counts."""
-    top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    keys = np.array([r.word for r in top], np.int64).view(np.uint64)
-    rank = np.argsort(keys, kind="stable")
-    return keys[rank], rank
+def vocabulary(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted digests and ranks of the words that get a token of their own, and the
+    counts of all tokens, from a table of counts.  What reaches the driver are at most
+    DIGITS**3 words and a row a bucket."""
+    top = (words.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "word").limit(frequent(DIGITS))
+           .select("word", "n").toArrow())
+    hashes, n = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    digit = LEAST_DIGITS
+    while frequent(digit) < len(n):
+        digit += 1
+    counts = np.zeros(digit ** 3)
+    counts[1:1 + len(n)] = n
+    buckets = counts[1 + frequent(digit):]
+    for r in words.groupBy(_bucket(F.col("word")).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        buckets[r.bucket] = r.n
+    buckets -= np.bincount((hashes % np.uint64(BUCKETS)).astype(np.int64), n, BUCKETS)
+    rank = np.argsort(hashes, kind="stable")
+    return hashes[rank], rank, counts
+
+
+def _bucket(word):
+    return word.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 class Trainer:
-    """Adam steps over a task's texts."""
+    """Adam steps over a task's texts.  A word's row moves only in steps that meet it,
+    and has its own number of steps."""
 
     def __init__(self, start: np.ndarray):
         self.vector = start.copy()
         self.w = parts(self.vector)
-        self.m, self.v = np.zeros_like(start), np.zeros_like(start)
+        words = self.w["e"].shape
+        self.moments = [np.zeros_like(start[words[0] * words[1]:]) for _ in range(2)]
+        self.e_moments = [np.zeros(words, np.float32) for _ in range(2)]
+        self.e_steps, self.met = np.zeros(words[0], np.int64), np.zeros(words[0], np.int64)
         self.steps = self.tokens = 0
 
-    def step(self, context: np.ndarray, token: np.ndarray) -> None:
+    @staticmethod
+    def _move(m, v, g, steps) -> np.ndarray:
+        """The new moments in place, and the way to go."""
+        m += 0.1 * (g - m)
+        v += 0.005 * (g * g - v)
+        rate = RATE * np.sqrt(1 - 0.995 ** steps) / (1 - 0.9 ** steps)
+        return (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+
+    def step(self, line: np.ndarray, place: np.ndarray) -> None:
         self.steps += 1
-        self.tokens += len(token)
-        _, state = forward(self.w, context, token)
-        g = slopes(self.w, context, state)
-        self.m += 0.1 * (g - self.m)
-        self.v += 0.005 * (g * g - self.v)
-        rate = RATE * np.sqrt(1 - 0.995 ** self.steps) / (1 - 0.9 ** self.steps)
-        self.vector -= (rate * self.m / (np.sqrt(self.v) + 1e-6)).astype(np.float32)
+        self.tokens += len(place)
+        _, state = forward(self.w, line, place)
+        d, rows, de = slopes(self.w, line, place, state)
+        rest = np.concatenate([x.reshape(-1) for x in d.values()])
+        self.vector[-len(rest):] -= self._move(*self.moments, rest, self.steps)
+        self.met += np.bincount(line[place], minlength=len(self.met))
+        self.met[0] += len(line) - len(place)
+        self.e_steps[rows] += 1
+        m, v = (x[rows] for x in self.e_moments)
+        self.w["e"][rows] -= self._move(m, v, de, self.e_steps[rows, None])
+        for x, new in zip(self.e_moments, (m, v)):
+            x[rows] = new
+
+    def learnt(self) -> pa.RecordBatch:
+        """The weights in rows of WIDTH, with the tokens each row was learnt from; rows
+        of words that were not met are left out."""
+        n = len(self.met)
+        table = np.resize(self.vector, (-(-len(self.vector) // WIDTH), WIDTH))
+        rows = np.concatenate([np.flatnonzero(self.met), np.arange(n, len(table))])
+        weight = np.concatenate([self.met[self.met > 0], np.full(len(table) - n, self.tokens)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.int64()), pa.array(weight, pa.int64())]
+            + [pa.array(np.ascontiguousarray(x)) for x in table[rows].T], ["place", "n", *_COLUMNS])
+
+
+_COLUMNS = [f"w{k}" for k in range(WIDTH)]
 
 
 def _train_task(batches: Iterator[pa.RecordBatch], start: np.ndarray, keys, rank) -> Iterator[pa.RecordBatch]:
     """The task's weights and the tokens they come from; steps take whole BATCHes,
     and the rest of the texts at the end."""
     trainer = Trainer(start)
-    contexts, tokens, held = [], [], 0
+    digit = digit_of(start)
+    lines, held = [], 0
+
+    def steps(all_of_them: bool):
+        line = np.concatenate([x for x, _ in lines])
+        starts = np.cumsum([0] + [len(x) for x, _ in lines])
+        place = np.concatenate([p + s for (_, p), s in zip(lines, starts)])
+        end = len(place) if all_of_them else len(place) - len(place) % BATCH
+        for k in range(0, end, BATCH):
+            trainer.step(*_window(line, place[k:min(k + BATCH, end)]))
+        if end == len(place):
+            return []
+        rest = place[end:]
+        return [(line[rest[0] - REACH:], rest - rest[0] + REACH)]
+
     for batch in batches:
         for _, offsets, raw in text_blocks(batch.column(0)):
-            line, place = tokens_of(Words(offsets, raw, NOT_ALNUM), keys, rank)
-            contexts.append(_contexts(line, place))
-            tokens.append(line[place])
+            line, place = tokens_of(Words(offsets, raw, NOT_ALNUM), keys, rank, digit)
+            lines.append((line, place))
             held += len(place)
             if held >= BATCH:
-                c, t = np.concatenate(contexts, axis=1), np.concatenate(tokens)
-                end = held - held % BATCH
-                for k in range(0, end, BATCH):
-                    trainer.step(c[:, k:k + BATCH], t[k:k + BATCH])
-                contexts, tokens, held = [c[:, end:]], [t[end:]], held - end
+                lines = steps(False)
+                held = sum(len(p) for _, p in lines)
     if held:
-        trainer.step(np.concatenate(contexts, axis=1), np.concatenate(tokens))
+        steps(True)
     if trainer.tokens:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([trainer.tokens], pa.int64()), pa.array([trainer.vector], pa.list_(pa.float32()))],
-            ["tokens", "weights"])
+        yield trainer.learnt()
+
+
+def _window(line: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The part of a line that the contexts of some places reach, and the places there."""
+    first = place[0] - REACH
+    return line[first:place[-1] + REACH + 1], place - first
 
 
 class Model:
-    def __init__(self, vector: np.ndarray, keys: np.ndarray, rank: np.ndarray):
-        self.vector, self.keys, self.rank = vector, keys, rank
+    """Weights, the words with a token of their own, and the counts of all tokens."""
+
+    def __init__(self, vector: np.ndarray, keys: np.ndarray, rank: np.ndarray, counts: np.ndarray):
+        self.vector, self.keys, self.rank, self.counts = vector, keys, rank, counts
+        self.digit = digit_of(vector)
 
     def blocks(self, texts: pa.Array) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
         """Runs of texts: first row, words, tokens, and each text's sum of the
         log-probabilities of its tokens."""
-        w = parts(self.vector)
+        w = parts(self.vector, self.digit)
         for first, offsets, raw in text_blocks(texts):
             words = Words(offsets, raw, NOT_ALNUM)
-            line, place = tokens_of(words, self.keys, self.rank)
+            line, place = tokens_of(words, self.keys, self.rank, self.digit)
             log_p = np.zeros(len(place))
             for k in range(0, len(place), BATCH):
                 at = place[k:k + BATCH]
-                log_p[k:k + BATCH] = forward(w, _contexts(line, at), line[at])[0]
+                log_p[k:k + BATCH] = forward(w, *_window(line, at))[0]
             sums = np.concatenate([[0.0], np.cumsum(log_p)])
             yield first, words, line[place], np.diff(sums[words.first])
 
@@ -231,19 +343,24 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS,
     averaged by Spark, weight by weight; the driver holds one network.  ``words``:
     the table of ``word_counts`` of the texts, if it is there already."""
     spark = prepare(docs.sparkSession)
-    keys, rank = vocabulary(word_counts(docs, text) if words is None else words)
-    vector = initial()
+    words = word_counts(docs, text) if words is None else words
+    keys, rank, counts = vocabulary(words)
+    vector = initial(counts)
+    tasks = max(spark.sparkContext.defaultParallelism, int(counts.sum()) // rounds // TASK_TOKENS)
     turn = F.pmod(F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(rounds))
+    kinds = "place long, n long, " + ", ".join(f"{c} float" for c in _COLUMNS)
     for r in range(rounds):
         shared = spark.sparkContext.broadcast((vector, keys, rank))
-        learnt = docs.where(turn == r).select(F.col(f"`{text}`")).mapInArrow(
-            lambda it: _train_task(it, *shared.value), "tokens long, weights array<float>")
-        mean = (learnt.select("tokens", F.posexplode("weights").alias("place", "weight"))
-                .groupBy("place").agg((F.sum(F.col("weight") * F.col("tokens")) / F.sum("tokens")).alias("weight")))
-        got = materialize(mean, "weights").orderBy("place").collect()
-        if got:
-            vector = np.array([x.weight for x in got], np.float32)
-    return Model(vector, keys, rank)
+        learnt = docs.where(turn == r).select(F.col(f"`{text}`")).coalesce(tasks).mapInArrow(
+            lambda it: _train_task(it, *shared.value), kinds)
+        mean = learnt.groupBy("place").agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).cast("float").alias(c)
+                                             for c in _COLUMNS])
+        got = materialize(mean, "weights").toArrow()
+        table = np.resize(vector, (-(-len(vector) // WIDTH), WIDTH))
+        for k, c in enumerate(_COLUMNS):
+            table[got["place"].to_numpy(), k] = got[c].to_numpy()
+        vector = table.reshape(-1)[:len(vector)]
+    return Model(vector, keys, rank, counts)
 
 
 def _block(number: int, held: list) -> pa.RecordBatch:
@@ -269,7 +386,7 @@ def _score_task(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for at, words, token, total in model.blocks(batch.column(1)):
             rows = len(total)
-            rare = token > FREQUENT
+            rare = token > frequent(model.digit)
             row = np.repeat(np.arange(rows), words.counts())
             held.append((ids[at:at + rows], words.counts(), total,
                          np.bincount(row[rare], minlength=rows), words.hash[rare]))
@@ -292,13 +409,6 @@ def _add_rare(texts: pa.Table, words: pa.Table) -> pa.Table:
                      "log_prob": pa.array(texts["total"].to_numpy() + np.diff(sums[ends.astype(np.int64)]))})
 
 
-def _bucket_totals(words: DataFrame, keys: np.ndarray) -> dict[int, int]:
-    """Occurrences of rare words by bucket (BUCKETS rows at most)."""
-    rare = words.where(~F.col("word").isin(keys.view(np.int64).tolist())) if len(keys) else words
-    return {r.bucket: r.n for r in rare.groupBy(F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
-            .agg(F.sum("n").alias("n")).collect()}
-
-
 def _score_words(docs: DataFrame, model: Model, text: str, words: DataFrame) -> DataFrame:
     """Each block of texts looks its distinct rare words up once: a word that many
     texts have is one row a block, so no key of the joins is hot."""
@@ -309,12 +419,11 @@ def _score_words(docs: DataFrame, model: Model, text: str, words: DataFrame) ->
     blocks = materialize(numbered.select("id", F.col(f"_row.`{text}`").alias("t")).mapInArrow(
         lambda it: _score_task(it, shared.value),
         "block long, id long, n long, total double, places array<int>, words array<long>"), "lm-blocks")
-    totals = _bucket_totals(words, model.keys)
-    mass = F.array(*[F.lit(totals.get(b, 0) + 1).cast("double") for b in range(BUCKETS)])
+    mass = F.array(*[F.lit(float(n + 1)) for n in model.counts[-BUCKETS:]])
     looked_up = (blocks.where("words is not null").select("block", F.posexplode("words").alias("place", "word"))
                  .join(words, "word", "left")
                  .select(F.col("block").alias("of"), "place", F.log(F.coalesce("n", F.lit(1)) / F.get(
-                     mass, F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))).alias("log_p")))
+                     mass, _bucket(F.col("word")))).alias("log_p")))
     sums = (blocks.select("block", "id", "n", "total", "places").groupBy("block")
             .cogroup(looked_up.groupBy("of")).applyInArrow(_add_rare, "id long, n long, log_prob double"))
     return numbered.join(sums, "id").select("_row", F.col("n").alias("n_tokens"), "log_prob")

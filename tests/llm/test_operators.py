@@ -282,25 +282,91 @@ def test_token_trees(spark):
     assert got == {i: (t, encode.count(t)) for i, t in want.items()}
 
 
-def test_lm_probabilities():
-    w = lm_score.parts(lm_score.initial())
-    context = np.array([[1], [0], [7], [300]])
-    every = np.arange(lm_score.VOCABULARY)
-    p, _ = lm_score.forward(w, np.repeat(context, len(every), axis=1), every)
+def lm_start(digit=lm_score.LEAST_DIGITS, seed=0):
+    """Weights that depend on the context, and counts of a vocabulary."""
+    rng = np.random.default_rng(seed)
+    v = lm_score.initial(rng.integers(0, 50, digit ** 3))
+    return rng, v + (rng.standard_normal(len(v)) * 0.1).astype(np.float32)
+
+
+@pytest.mark.parametrize("digit", [8, 11])
+def test_lm_probabilities(digit):
+    _, v = lm_start(digit)
+    w = lm_score.parts(v)
+    assert lm_score.digit_of(v) == digit
+    line = np.array([0, 0, 5, 1, 4, 7, 300, 2, 0])
+    every = np.arange(digit ** 3)
+    place = np.full(len(every), lm_score.REACH)
+    p, _ = lm_score.forward(w, line, place, every)
     assert abs(np.exp(p).sum() - 1) < 1e-4
+    line[lm_score.REACH] = 9  # the word itself is not read
+    assert np.array_equal(p, lm_score.forward(w, line, place, every)[0])
+
+
+def test_lm_starts_from_shares():
+    counts = np.arange(512.0)
+    w = lm_score.parts(lm_score.initial(counts))
+    w["c"][:] = w["e"][:] = 0
+    every = np.arange(512)
+    p, _ = lm_score.forward(w, np.zeros(9, int), np.full(512, 4), every)
+    assert np.allclose(np.exp(p), (counts + 0.1) / (counts + 0.1).sum(), rtol=1e-3)
 
 
 def test_lm_slopes():
-    rng = np.random.default_rng(0)
-    v = lm_score.initial().astype(np.float64)
-    c, t = rng.integers(0, lm_score.VOCABULARY, (4, 30)), rng.integers(0, lm_score.VOCABULARY, 30)
-    _, state = lm_score.forward(lm_score.parts(v), c, t)
-    g = lm_score.slopes(lm_score.parts(v), c, state)
-    for k in rng.choice(np.flatnonzero(g), 25):
-        step = np.zeros_like(v)
-        step[k] = 1e-5
-        up, down = (-lm_score.forward(lm_score.parts(v + s), c, t)[0].mean() for s in (step, -step))
-        assert abs((up - down) / 2e-5 - g[k]) < 1e-3
+    rng, v = lm_start()
+    v = v.astype(np.float64)
+    line = np.concatenate([np.zeros(4, int), rng.integers(0, 512, 20), np.zeros(4, int), rng.integers(0, 512, 9),
+                           np.zeros(4, int)])
+    place = np.flatnonzero(line)
+    _, state = lm_score.forward(lm_score.parts(v), line, place)
+    d, rows, de = lm_score.slopes(lm_score.parts(v), line, place, state)
+    e = np.zeros_like(lm_score.parts(v)["e"])
+    e[rows] = de
+    g = np.concatenate([x.reshape(-1) for x in (e, *d.values())])
+    for name, x in lm_score.parts(np.arange(len(v))[:], 8).items():
+        for k in rng.choice(x.reshape(-1)[g[x.reshape(-1)] != 0], 8):
+            step = np.zeros_like(v)
+            step[k] = 1e-5
+            up, down = (-lm_score.forward(lm_score.parts(v + s), line, place)[0].mean() for s in (step, -step))
+            assert abs((up - down) / 2e-5 - g[k]) < 1e-6 + 1e-3 * abs(g[k]), name
+
+
+def test_lm_steps_take_every_token():
+    """A task's steps over texts in many blocks meet every token once."""
+    texts = pa.array([SENTENCE] * 3000 + [None, "", max(filter(None, ODD), key=len)], pa.string())
+    words = np.unique(lm_score.Words(np.array([0, len(SENTENCE)]), np.frombuffer(SENTENCE.encode(), np.uint8),
+                                     lm_score.NOT_ALNUM).hash)
+    counts = np.zeros(512)
+    counts[1:1 + len(words)] = 3000
+    start = lm_score.initial(counts)
+    batches = [pa.RecordBatch.from_arrays([texts[k:k + 100]], ["t"]) for k in range(0, len(texts), 100)]
+    [got] = lm_score._train_task(iter(batches), start, words, np.arange(len(words)))
+    by_row = dict(zip(got["place"].to_pylist(), got["n"].to_pylist()))
+    n = 3000 * len(SENTENCE.split()) + len(alnum_words(max(filter(None, ODD), key=len)))
+    assert by_row[512] == n  # rows behind the words' count all tokens
+    assert sum(by_row.get(k, 0) for k in range(1, 512)) == n
+    w = lm_score.parts(start)
+    sentence = lm_score.Model(start, words, np.arange(len(words)), counts)
+    before = sentence.score(texts[:1])[1][0]
+    table = np.resize(start, (-(-len(start) // lm_score.WIDTH), lm_score.WIDTH))
+    table[got["place"].to_numpy()] = np.stack([got[c].to_numpy() for c in lm_score._COLUMNS], axis=1)
+    sentence.vector = table.reshape(-1)[:len(start)]
+    assert sentence.score(texts[:1])[1][0] > before and w["e"].shape == (512, lm_score.WIDTH)
+
+
+def test_lm_vocabulary(spark):
+    """Grows with the words that occur often; buckets hold the counts of the rest."""
+    rows = [(k * 2654435761 - (1 << 40), 1 + k % 7) for k in range(3000)]
+    words = spark.createDataFrame(rows, "word long, n long")
+    keys, rank, counts = lm_score.vocabulary(words)
+    often = [w for w, n in sorted(rows, key=lambda r: (-r[1], r[0])) if n >= lm_score.OFTEN]
+    digit = round(len(counts) ** (1 / 3))
+    assert lm_score.frequent(digit - 1) < len(often) <= lm_score.frequent(digit)
+    assert list(keys[np.argsort(rank)].view(np.int64)) == often and list(keys) == sorted(keys)
+    want = np.zeros(lm_score.BUCKETS)
+    for w, n in rows:
+        want[w % lm_score.BUCKETS] += n * (n < lm_score.OFTEN)
+    assert list(counts[-lm_score.BUCKETS:]) == list(want) and counts.sum() == sum(n for _, n in rows)
 
 
 def test_lm_scores(spark):
@@ -317,12 +383,11 @@ def test_lm_scores(spark):
     # one text by hand, place by place
     words = lm_score.Words(np.array([0, len(SENTENCE)]), np.frombuffer(SENTENCE.encode(), np.uint8),
                            lm_score.NOT_ALNUM)
-    line, place = lm_score.tokens_of(words, model.keys, model.rank)
-    own = sum(float(lm_score.forward(w, np.array([[line[p + o]] for o in (-2, -1, 1, 2)]),
-                                     line[p:p + 1])[0][0]) for p in place)
+    line, place = lm_score.tokens_of(words, model.keys, model.rank, model.digit)
+    own = sum(float(lm_score.forward(w, line, np.array([p]))[0][0]) for p in place)
     assert abs(own - model.score(pa.array([SENTENCE]))[1][0]) < 1e-2
     trained = lm_score.score(docs, model).agg({"log_prob": "sum"}).first()[0]
-    start = lm_score.Model(lm_score.initial(), model.keys, model.rank)
+    start = lm_score.Model(lm_score.initial(model.counts), model.keys, model.rank, model.counts)
     assert trained > lm_score.score(docs, start).agg({"log_prob": "sum"}).first()[0]
 
 
