@@ -35,7 +35,7 @@ from .wordarrays import NOT_ALNUM, Words, text_blocks
 #: that make a word a token of its own, words read on each side, width of the network.
 LEAST_DIGITS, DIGITS, BUCKETS, OFTEN, REACH, WIDTH = 8, 40, 128, 4, 4, 16
 #: Rounds (the texts are dealt to them by digest), tokens of a step, and step size.
-ROUNDS, BATCH, RATE = 2, 4096, 0.02
+ROUNDS, BATCH, RATE = 2, 8192, 0.02
 #: Tokens that a training task gets at least, where there are more tasks than cores.
 TASK_TOKENS = 16_000_000
 #: Text bytes of a block of texts whose distinct rare words are looked up at once.
@@ -88,13 +88,13 @@ def initial(counts: np.ndarray) -> np.ndarray:
     return vector
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithms of their sums."""
+def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities up to a factor, their sums, and the logarithms of the sums of the
+    exponentials."""
     top = x.max(axis=1, keepdims=True)
     p = np.exp(x - top)
-    s = p.sum(axis=1, keepdims=True)
-    p /= s
-    return p, (np.log(s) + top)[:, 0]
+    s = p @ np.ones(p.shape[1], p.dtype)
+    return p, s, np.log(s) + top[:, 0]
 
 
 def forward(w: dict, line: np.ndarray, place: np.ndarray, token: np.ndarray | None = None):
@@ -103,10 +103,8 @@ def forward(w: dict, line: np.ndarray, place: np.ndarray, token: np.ndarray | No
     n, digit = len(line) - 2 * REACH, len(w["ba"])
     token = line[place] if token is None else token
     e = w["e"][line]
-    z = np.tile(w["c"], (n, 1))
-    for k, o in enumerate(_OFFSETS):
-        z += e[REACH + o:REACH + o + n] @ w["m"][k]
-    h = np.tanh(z[place - REACH])
+    near = np.concatenate([e[REACH + o:REACH + o + n] for o in _OFFSETS], axis=1)
+    h = np.tanh((near @ w["m"].reshape(-1, WIDTH) + w["c"])[place - REACH])
     ab, c = np.divmod(token, digit)
     a, b = np.divmod(ab, digit)
     hb, hc = h * w["sb"][a], h * w["sc"][ab]
@@ -115,16 +113,15 @@ def forward(w: dict, line: np.ndarray, place: np.ndarray, token: np.ndarray | No
     for own, logits in ((a, h @ w["wa"] + w["ba"]), (b, hb @ w["wb"] + w["bb"][a]),
                         (c, hc @ w["wc"] + w["bc"][ab])):
         own_logit = logits[at, own]
-        p, log_sum = _softmax(logits)
+        p, total, log_sum = _softmax(logits)
         log_p = log_p + own_logit - log_sum
-        p[at, own] -= 1
-        ps.append(p)
-    return log_p, (e, h, hb, hc, a, ab, ps)
+        ps.append((own, p, total))
+    return log_p, (near, h, hb, hc, a, ab, ps)
 
 
 def _sums(key: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and the sums of their rows of ``x``."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key.astype(np.uint16) if DIGITS ** 3 <= 1 << 16 else key, kind="stable")
     keys = key[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     return keys[first], np.add.reduceat(x[order], first, axis=0)
@@ -133,8 +130,12 @@ def _sums(key: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def slopes(w: dict, line: np.ndarray, place: np.ndarray, state) -> tuple[dict, np.ndarray, np.ndarray]:
     """Slope of the mean negative log-probability: by name for all tables but the
     words', and for these the tokens of the line and the slopes of their rows."""
-    e, h, hb, hc, a, ab, ps = state
-    pa_, pb, pc_ = (p / len(place) for p in ps)
+    near, h, hb, hc, a, ab, ps = state
+    at = np.arange(len(place))
+    for own, p, total in ps:
+        p *= (1 / total)[:, None]
+        p[at, own] -= 1
+    pa_, pb, pc_ = (p for _, p, _ in ps)
     d = {k: np.zeros_like(x) for k, x in w.items() if k != "e"}
     d["wa"][:], d["ba"][:] = h.T @ pa_, pa_.sum(axis=0)
     d["wb"][:], d["wc"][:] = hb.T @ pb, hc.T @ pc_
@@ -144,15 +145,18 @@ def slopes(w: dict, line: np.ndarray, place: np.ndarray, state) -> tuple[dict, n
         d[s][rows], d[b][rows] = sums[:, :WIDTH], sums[:, WIDTH:]
     dh = pa_ @ w["wa"].T + dhb * w["sb"][a] + dhc * w["sc"][ab]
     n = len(line) - 2 * REACH
-    dz = np.zeros((n, WIDTH), e.dtype)
+    dz = np.zeros((n, WIDTH), near.dtype)
     dz[place - REACH] = dh * (1 - h * h)
     d["c"][:] = dz.sum(axis=0)
-    de = np.zeros_like(e)
+    d["m"][:] = (near.T @ dz).reshape(d["m"].shape)
+    dnear = dz @ w["m"].reshape(-1, WIDTH).T
+    de = np.zeros((len(line), WIDTH), near.dtype)
     for k, o in enumerate(_OFFSETS):
-        there = slice(REACH + o, REACH + o + n)
-        de[there] += dz @ w["m"][k].T
-        d["m"][k] = e[there].T @ dz
-    return d, *_sums(line, de)
+        de[REACH + o:REACH + o + n] += dnear[:, k * WIDTH:(k + 1) * WIDTH]
+    rows, de = _sums(line, de)
+    for x in (de, *d.values()):
+        x /= len(place)
+    return d, rows, de
 
 
 def tokens_of(words: Words, keys: np.ndarray, rank: np.ndarray, digit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,8 +249,6 @@ class Trainer:
         d, rows, de = slopes(self.w, line, place, state)
         rest = np.concatenate([x.reshape(-1) for x in d.values()])
         self.vector[-len(rest):] -= self._move(*self.moments, rest, self.steps)
-        self.met += np.bincount(line[place], minlength=len(self.met))
-        self.met[0] += len(line) - len(place)
         self.e_steps[rows] += 1
         m, v = (x[rows] for x in self.e_moments)
         self.w["e"][rows] -= self._move(m, v, de, self.e_steps[rows, None])
@@ -291,6 +293,7 @@ def _train_task(batches: Iterator[pa.RecordBatch], start: np.ndarray, keys, rank
         for _, offsets, raw in text_blocks(batch.column(0)):
             line, place = tokens_of(Words(offsets, raw, NOT_ALNUM), keys, rank, digit)
             lines.append((line, place))
+            trainer.met += np.bincount(line, minlength=len(trainer.met))
             held += len(place)
             if held >= BATCH:
                 lines = steps(False)
