@@ -36,6 +36,9 @@ from .wordarrays import NOT_ALNUM, Words, text_blocks
 LEAST_DIGITS, DIGITS, BUCKETS, OFTEN, REACH, WIDTH = 8, 40, 128, 4, 4, 16
 #: Rounds (the texts are dealt to them by digest), tokens of a step, and step size.
 ROUNDS, BATCH, RATE = 2, 8192, 0.02
+#: Tokens whose tables are worked on at once, so that they stay in a core's cache, and
+#: the range of logits and of their sums in which exponentials need no common factor.
+PART, HIGH, LOW = 1024, 60.0, 1e-20
 #: Tokens that a training task gets at least, where there are more tasks than cores.
 TASK_TOKENS = 16_000_000
 #: Text bytes of a block of texts whose distinct rare words are looked up at once.
@@ -90,33 +93,53 @@ def initial(counts: np.ndarray) -> np.ndarray:
 
 def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probabilities up to a factor, their sums, and the logarithms of the sums of the
-    exponentials."""
+    exponentials.  The largest logit of each row is looked for only where the
+    exponentials would leave the range of the numbers; ``x`` may be overwritten."""
+    ones = np.ones(x.shape[1], x.dtype)
+    if x.max(initial=0) <= HIGH:
+        p = np.exp(x)
+        s = p @ ones
+        if s.min(initial=1) >= LOW:
+            return p, s, np.log(s)
     top = x.max(axis=1, keepdims=True)
-    p = np.exp(x - top)
-    s = p @ np.ones(p.shape[1], p.dtype)
+    p = np.exp(np.subtract(x, top, out=x), out=x)
+    s = p @ ones
     return p, s, np.log(s) + top[:, 0]
 
 
 def forward(w: dict, line: np.ndarray, place: np.ndarray, token: np.ndarray | None = None):
     """Log-probability of the token at each place of a line (or of ``token`` there) in
     its context, and what the slopes need.  Places lie REACH or more from the ends."""
-    n, digit = len(line) - 2 * REACH, len(w["ba"])
+    digit = len(w["ba"])
     token = line[place] if token is None else token
-    e = w["e"][line]
-    near = np.concatenate([e[REACH + o:REACH + o + n] for o in _OFFSETS], axis=1)
-    h = np.tanh((near @ w["m"].reshape(-1, WIDTH) + w["c"])[place - REACH])
-    ab, c = np.divmod(token, digit)
-    a, b = np.divmod(ab, digit)
-    hb, hc = h * w["sb"][a], h * w["sc"][ab]
+    e = w["e"].take(line, axis=0)
+    near = _near(e)
+    h = (near @ w["m"].reshape(-1, WIDTH)).take(place - REACH, axis=0)
+    h += w["c"]
+    np.tanh(h, out=h)
+    ab = token // digit
+    c = token - ab * digit
+    a = ab // digit
+    b = ab - a * digit
+    hb, hc = h * w["sb"].take(a, axis=0), h * w["sc"].take(ab, axis=0)
     at = np.arange(len(token))
     log_p, ps = 0, []
-    for own, logits in ((a, h @ w["wa"] + w["ba"]), (b, hb @ w["wb"] + w["bb"][a]),
-                        (c, hc @ w["wc"] + w["bc"][ab])):
+    for own, x, v, bias in ((a, h, w["wa"], w["ba"]), (b, hb, w["wb"], w["bb"].take(a, axis=0)),
+                            (c, hc, w["wc"], w["bc"].take(ab, axis=0))):
+        logits = x @ v
+        logits += bias
         own_logit = logits[at, own]
         p, total, log_sum = _softmax(logits)
         log_p = log_p + own_logit - log_sum
         ps.append((own, p, total))
-    return log_p, (near, h, hb, hc, a, ab, ps)
+    return log_p, (e, h, hb, hc, a, ab, ps)
+
+
+def _near(x: np.ndarray) -> np.ndarray:
+    """The rows around each row that has REACH rows on both sides, one after the other."""
+    n = len(x) - 2 * REACH
+    around = np.arange(n)[:, None] + (REACH + np.array(_OFFSETS))
+    return x.take(around, axis=0).reshape(n, -1)
 
 
 def _sums(key: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,35 +147,55 @@ def _sums(key: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(key.astype(np.uint16) if DIGITS ** 3 <= 1 << 16 else key, kind="stable")
     keys = key[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[first], np.add.reduceat(x[order], first, axis=0)
+    return keys[first], np.add.reduceat(x.take(order, axis=0), first, axis=0)
 
 
-def slopes(w: dict, line: np.ndarray, place: np.ndarray, state) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Slope of the mean negative log-probability: by name for all tables but the
-    words', and for these the tokens of the line and the slopes of their rows."""
-    near, h, hb, hc, a, ab, ps = state
-    at = np.arange(len(place))
+def _add_slopes(w: dict, line: np.ndarray, place: np.ndarray, state, d: dict, de: np.ndarray) -> None:
+    """Add the slopes of the sum of the negative log-probabilities to ``d`` (all tables
+    but the words') and to ``de`` (the rows of the words of the line, one a place)."""
+    e, h, hb, hc, a, ab, ps = state
+    at, ones = np.arange(len(place)), np.ones(len(place), h.dtype)
     for own, p, total in ps:
         p *= (1 / total)[:, None]
         p[at, own] -= 1
     pa_, pb, pc_ = (p for _, p, _ in ps)
-    d = {k: np.zeros_like(x) for k, x in w.items() if k != "e"}
-    d["wa"][:], d["ba"][:] = h.T @ pa_, pa_.sum(axis=0)
-    d["wb"][:], d["wc"][:] = hb.T @ pb, hc.T @ pc_
+    d["wa"] += h.T @ pa_
+    d["ba"] += ones @ pa_
+    d["wb"] += hb.T @ pb
+    d["wc"] += hc.T @ pc_
     dhb, dhc = pb @ w["wb"].T, pc_ @ w["wc"].T
     for key, s, b, dx, p in ((a, "sb", "bb", dhb, pb), (ab, "sc", "bc", dhc, pc_)):
         rows, sums = _sums(key, np.concatenate([dx * h, p], axis=1))
-        d[s][rows], d[b][rows] = sums[:, :WIDTH], sums[:, WIDTH:]
-    dh = pa_ @ w["wa"].T + dhb * w["sb"][a] + dhc * w["sc"][ab]
-    n = len(line) - 2 * REACH
-    dz = np.zeros((n, WIDTH), near.dtype)
-    dz[place - REACH] = dh * (1 - h * h)
-    d["c"][:] = dz.sum(axis=0)
-    d["m"][:] = (near.T @ dz).reshape(d["m"].shape)
-    dnear = dz @ w["m"].reshape(-1, WIDTH).T
-    de = np.zeros((len(line), WIDTH), near.dtype)
-    for k, o in enumerate(_OFFSETS):
-        de[REACH + o:REACH + o + n] += dnear[:, k * WIDTH:(k + 1) * WIDTH]
+        d[s][rows] += sums[:, :WIDTH]
+        d[b][rows] += sums[:, WIDTH:]
+    dhb *= w["sb"].take(a, axis=0)
+    dhc *= w["sc"].take(ab, axis=0)
+    dh = pa_ @ w["wa"].T
+    dh += dhb
+    dh += dhc
+    dh *= 1 - h * h
+    d["c"] += ones @ dh
+    # a word reaches the places around it: the offsets the other way round
+    dz = np.zeros((len(line) + 2 * REACH, WIDTH), h.dtype)
+    dz[place + REACH] = dh
+    dz = _near(dz)
+    d["m"] += (e.T @ dz).reshape(WIDTH, -1, WIDTH).swapaxes(0, 1)[::-1]
+    de += dz @ w["m"][::-1].swapaxes(1, 2).reshape(-1, WIDTH)
+
+
+def slopes(w: dict, line: np.ndarray, place: np.ndarray, state=None) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Slope of the mean negative log-probability: by name for all tables but the
+    words', and for these the tokens of the line and the slopes of their rows.
+    Without the ``state`` of ``forward`` the places (in order) are taken PART by PART."""
+    d = {k: np.zeros_like(x) for k, x in w.items() if k != "e"}
+    de = np.zeros((len(line), WIDTH), w["e"].dtype)
+    if state is not None:
+        _add_slopes(w, line, place, state, d, de)
+    else:
+        for k in range(0, len(place), PART):
+            own, at = _window(line, place[k:k + PART])
+            first = place[k] - REACH
+            _add_slopes(w, own, at, forward(w, own, at)[1], d, de[first:first + len(own)])
     rows, de = _sums(line, de)
     for x in (de, *d.values()):
         x /= len(place)
@@ -168,12 +211,29 @@ def tokens_of(words: Words, keys: np.ndarray, rank: np.ndarray, digit: int) -> t
     line = np.zeros(len(words.hash) + REACH * (rows + 1), np.int64)
     token = frequent(digit) + 1 + (words.hash % np.uint64(BUCKETS)).astype(np.int64)
     if len(keys):
-        at = np.minimum(np.searchsorted(keys, words.hash), len(keys) - 1)
-        token = np.where(keys[at] == words.hash, 1 + rank[at], token)
+        at = _places_in(keys, words.hash)
+        token = np.where(keys.take(at) == words.hash, 1 + rank.take(at), token)
     line[place] = token
     return line, place
 
 
+def _places_in(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Where each value is, or would be, among sorted digests (beyond them: the last
+    place).  The first bits of a digest tell about where; digests that share them follow each other."""
+    shift = np.uint64(64 - len(keys).bit_length() - 1)
+    starts = np.zeros((1 << (64 - int(shift))) + 1, np.int64)
+    np.cumsum(np.bincount((keys >> shift).astype(np.int64), minlength=len(starts) - 1), out=starts[1:])
+    last = len(keys) - 1
+    at = np.minimum(starts.take((x >> shift).astype(np.int64)), last)
+    left = np.flatnonzero(keys.take(at) < x)
+    for _ in range(8):
+        at[left] = np.minimum(at[left] + 1, last)
+        left = left[(keys.take(at[left]) < x[left]) & (at[left] < last)]
+    if len(left):
+        at[left] = np.minimum(np.searchsorted(keys, x[left]), last)
+    return at
+
+
 def frequent(digit: int) -> int:
     """Places for words of their own: all but the buckets and token 0, which stands
     beyond the ends of a text."""
@@ -245,12 +305,11 @@ class Trainer:
     def step(self, line: np.ndarray, place: np.ndarray) -> None:
         self.steps += 1
         self.tokens += len(place)
-        _, state = forward(self.w, line, place)
-        d, rows, de = slopes(self.w, line, place, state)
+        d, rows, de = slopes(self.w, line, place)
         rest = np.concatenate([x.reshape(-1) for x in d.values()])
         self.vector[-len(rest):] -= self._move(*self.moments, rest, self.steps)
         self.e_steps[rows] += 1
-        m, v = (x[rows] for x in self.e_moments)
+        m, v = (x.take(rows, axis=0) for x in self.e_moments)
         self.w["e"][rows] -= self._move(m, v, de, self.e_steps[rows, None])
         for x, new in zip(self.e_moments, (m, v)):
             x[rows] = new
@@ -325,9 +384,8 @@ class Model:
             words = Words(offsets, raw, NOT_ALNUM)
             line, place = tokens_of(words, self.keys, self.rank, self.digit)
             log_p = np.zeros(len(place))
-            for k in range(0, len(place), BATCH):
-                at = place[k:k + BATCH]
-                log_p[k:k + BATCH] = forward(w, *_window(line, at))[0]
+            for k in range(0, len(place), PART):
+                log_p[k:k + PART] = forward(w, *_window(line, place[k:k + PART]))[0]
             sums = np.concatenate([[0.0], np.cumsum(log_p)])
             yield first, words, line[place], np.diff(sums[words.first])
 
