@@ -1,5 +1,5 @@
 """Texts that differ by characters which the other lacks are diffed without a search,
-and an ASCII text is not searched for symbols; the results stay the same."""
+and an ASCII text is not searched for symbols; the results stay the same.  Exploded symbols are looked for once a row."""
 
 import difflib
 import random
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glyphlex.functions import symbols as sym
 from glyphlex.operators import diff, matching
+from glyphlex.operators import substitute as subst
 
 WORDS = [f"w{i * 37 % 91}{chr(97 + i % 26)} e" for i in range(80)]
 
@@ -63,3 +64,17 @@ def test_ascii_texts_hold_no_symbol(spark):
     assert "octet_length" in plan
     listed = sym.closed_list(["ab", "🐶"])  # a list may hold ASCII symbols
     assert df.select(sym.extract_symbols(F.lit("xab"), listed).alias("a")).first().a == ["ab"]
+
+
+def test_exploded_symbols_are_looked_for_once(spark):
+    rows = [(1, "A 🐶 b 🐱"), (2, "none"), (3, None), (4, "🐱🐱"), (1, "A 🐶 b 🐱")]
+    df = spark.createDataFrame(rows, "row_id long, text string")
+    d = spark.createDataFrame([("🐶", "狗", 0)], "key string, value string, rank long")
+    oov = subst.oov_symbols(df, "text", d)
+    assert oov._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert [tuple(r) for r in oov.collect()] == [("🐱", 4)]
+    out = subst.demojize(df, "text", d, "out", path="join")
+    # once for the blocks, once for the rewritten text
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2
+    got = sorted((r.row_id, r.out) for r in out.collect() if r.out is not None)
+    assert got == sorted([(1, "A 狗 b [UNK]")] * 2 + [(2, "none"), (4, "[UNK][UNK]")])
