@@ -40,9 +40,14 @@ def read_tsv(spark: SparkSession, path: str, schema: str, multi_line: bool = Tru
             .option("multiLine", str(multi_line).lower()).csv(path))
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """B1: header, no index; the folder's name can carry metadata."""
-    df.write.mode(mode).options(**TSV_OPTIONS).csv(path)
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None,
+              compression: str = "none") -> None:
+    """B1: header, no index; the folder's name can carry metadata.  ``by`` is a column that
+    becomes folders ``by=value``, all written in one pass.  Files that are compressed with
+    ``gzip`` take far less disk and are read by one task each, as those whose texts may
+    hold line breaks are anyway."""
+    out = df.write.mode(mode).options(**TSV_OPTIONS).option("compression", compression)
+    (out.partitionBy(by) if by else out).csv(path)
 
 
 def read_pairs(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -116,14 +121,14 @@ def write_dict(d: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_candidates(spark: SparkSession, systems: Mapping[str, str],
                     schema: str = "id long, prediction string",
                     multi_line: bool = True) -> DataFrame:
-    """One TSV per system, in registration order; the score is the integer
-    after ``res`` in the last path component (as in ``res87730``).  ``multi_line`` as
+    """One TSV per system, in registration order; the score is the integer after
+    ``res`` in the last path component (as in ``res87730`` or ``res=87730``).  ``multi_line`` as
     in ``read_tsv``: without it a large system is read by many tasks."""
     parts = None
     for pos, (system, path) in enumerate(systems.items()):
         part = read_tsv(spark, path, schema, multi_line).select(
             "id", F.lit(system).alias("system"),
-            F.regexp_extract(F.col("_metadata.file_path"), r"res(\d+)/[^/]*$", 1)
+            F.regexp_extract(F.col("_metadata.file_path"), r"res=?(\d+)/[^/]*$", 1)
             .cast("int").alias("score"),
             F.lit(pos).alias("sys_pos"), "prediction")
         parts = part if parts is None else parts.unionByName(part)
